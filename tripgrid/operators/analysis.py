@@ -373,7 +373,7 @@ def hourly_trend(cells: DataFrame, threshold: float = 1.0) -> DataFrame:
     index = labels.speed_index("avg_speed")
     before, at = F.lag("congestion_index").over(by_cell), F.lag("hour_bucket").over(by_cell)
     hour_apart = F.unix_timestamp("hour_bucket") - F.unix_timestamp(at) == 3600
-    change = F.round(F.when(hour_apart, (F.col("congestion_index") - before) * 100.0), 1)
+    change = F.when(hour_apart, (F.col("congestion_index") - before) * 100.0)
     trend = (
         F.when(F.col("change_1h") > threshold, "increasing")
         .when(F.col("change_1h") < -threshold, "decreasing")

@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from tripgrid.plans import cleaning_queries
+from tripgrid.plans import (
+    aggregate_queries,
+    cleaning_queries,
+    io_queries,
+    quality_queries,
+    state_queries,
+    streaming_queries,
+)
 from tripgrid.plans.registry import ORACLES, QUERIES, Query
 
 
+MODULES = (
+    aggregate_queries, cleaning_queries, io_queries, quality_queries, state_queries,
+    streaming_queries,
+)
+
+
 def queries() -> dict[str, Query]:
     return dict(sorted(QUERIES.items()))
 

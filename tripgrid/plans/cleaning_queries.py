@@ -10,8 +10,16 @@ from tripgrid.functions.numeric import band, clamp
 from tripgrid.operators import cleaning
 from tripgrid.operators.features import with_time_flags
 from tripgrid.plans import views
-from tripgrid.plans.registry import query, rounded
-from tripgrid.plans.views import RUSH, sql_band, sql_from, sql_level, sql_piecewise, sql_speed_index
+from tripgrid.plans.registry import query
+from tripgrid.plans.views import (
+    RUSH,
+    sql_band,
+    sql_from,
+    sql_level,
+    sql_piecewise,
+    sql_round,
+    sql_speed_index,
+)
 from tripgrid.sources import fixtures
 from tripgrid.streaming import events
 
@@ -104,20 +112,20 @@ def p06(spark, d):
 
 
 @query("p07_speed", sql_from("prepared", """
-SELECT pickup_datetime, trip_distance, speed_mph, round(raw_speed, 6) AS raw_speed FROM prepared"""))
+SELECT pickup_datetime, trip_distance, speed_mph, raw_speed AS raw_speed FROM prepared"""))
 def p07(spark, d):
     return _prepared(spark, d).select(
         "pickup_datetime", "trip_distance", "speed_mph",
-        F.round(F.try_divide("trip_distance", "duration_hours"), 6).alias("raw_speed"),
+        F.try_divide("trip_distance", "duration_hours").alias("raw_speed"),
     )
 
 
 @query("p08_speed_filter", sql_from("prepared", """
-SELECT 'standard' AS profile, pickup_datetime, round(speed_mph, 6) AS speed FROM prepared
+SELECT 'standard' AS profile, pickup_datetime, speed_mph AS speed FROM prepared
 WHERE speed_mph BETWEEN 1 AND 60
-UNION ALL SELECT 'v1', pickup_datetime, round(raw_speed, 6) FROM prepared
+UNION ALL SELECT 'v1', pickup_datetime, raw_speed FROM prepared
 WHERE raw_speed > 0 AND raw_speed < 80
-UNION ALL SELECT 'v2', pickup_datetime, round(raw_speed, 6) FROM prepared
+UNION ALL SELECT 'v2', pickup_datetime, raw_speed FROM prepared
 WHERE raw_speed > 0 AND raw_speed < 60"""))
 def p08(spark, d):
     raw = F.try_divide("trip_distance", "duration_hours")
@@ -126,7 +134,7 @@ def p08(spark, d):
     kept = [
         F.when(
             profiles.CLEAN_PROFILES[name].speed.holds(speed),
-            F.struct(F.lit(name).alias("profile"), F.round(speed, 6).alias("speed")),
+            F.struct(F.lit(name).alias("profile"), speed.alias("speed")),
         )
         for name, speed in speeds.items()
     ]
@@ -148,31 +156,29 @@ def p09(spark, d):
 
 @query("p10_grid_cell_absolute", sql_from("legacy", """
 SELECT pickup_lat, pickup_lon, cell_lat_idx, cell_lon_idx, cell_id,
-  round(cell_center_lat, 6) AS cell_center_lat, round(cell_center_lon, 6) AS cell_center_lon
+  cell_center_lat, cell_center_lon
 FROM legacy"""))
 def p10(spark, d):
-    return rounded(
-        views.clean(spark, d, profiles.LEGACY).select(
-            "pickup_lat", "pickup_lon", "cell_lat_idx", "cell_lon_idx", "cell_id",
-            "cell_center_lat", "cell_center_lon",
-        ), 6, ["cell_center_lat", "cell_center_lon"],
+    return views.clean(spark, d, profiles.LEGACY).select(
+        "pickup_lat", "pickup_lon", "cell_lat_idx", "cell_lon_idx", "cell_id",
+        "cell_center_lat", "cell_center_lon",
     )
 
 
 @query("p11_cell_centres", sql_from("clean", """
-SELECT cell_id, round(40.4855::DOUBLE + (cell_lat + 0.5::DOUBLE) * 0.0096::DOUBLE, 6) AS latitude,
-  round(-74.2567::DOUBLE + (cell_lon + 0.5::DOUBLE) * 0.009928::DOUBLE, 6) AS longitude,
-  round(40.4855::DOUBLE + cell_lat * 0.01::DOUBLE, 6) AS bridge_latitude,
-  round(-74.2567::DOUBLE + cell_lon * 0.01::DOUBLE, 6) AS bridge_longitude
+SELECT cell_id, 40.4855::DOUBLE + (cell_lat + 0.5::DOUBLE) * 0.0096::DOUBLE AS latitude,
+  -74.2567::DOUBLE + (cell_lon + 0.5::DOUBLE) * 0.009928::DOUBLE AS longitude,
+  40.4855::DOUBLE + cell_lat * 0.01::DOUBLE AS bridge_latitude,
+  -74.2567::DOUBLE + cell_lon * 0.01::DOUBLE AS bridge_longitude
 FROM (SELECT DISTINCT cell_id, cell_lat, cell_lon FROM clean)"""))
 def p11(spark, d):
     cells = views.clean(spark, d).select("cell_id", "cell_lat", "cell_lon").distinct()
     lat, lon = grid.centre_coordinates("cell_lat", "cell_lon", profiles.STATE_CENTRES)
     blat, blon = grid.centre_coordinates("cell_lat", "cell_lon", profiles.BRIDGE_CENTRES)
-    return rounded(cells.select(
+    return cells.select(
         "cell_id", lat.alias("latitude"), lon.alias("longitude"),
         blat.alias("bridge_latitude"), blon.alias("bridge_longitude"),
-    ), 6)
+    )
 
 
 @query("p12_calendar", sql_from("prepared", """
@@ -239,11 +245,12 @@ def p17(spark, d):
 , tested AS (
   SELECT *, (epoch(dropoff_datetime) - epoch(pickup_datetime))::BIGINT AS dur_s FROM faulty)
 SELECT pickup_datetime, dropoff_datetime, trip_distance, passenger_count,
-  round(trip_distance / (dur_s / 3600.0::DOUBLE), 2) AS speed_mph
+  {speed} AS speed_mph
 FROM tested
 WHERE dur_s BETWEEN 60 AND 10800 AND pickup_lat <= 40.9176::DOUBLE
   AND trip_distance BETWEEN 0.1::DOUBLE AND 100
-  AND round(trip_distance / nullif(dur_s / 3600.0::DOUBLE, 0), 2) BETWEEN 1 AND 60"""))
+  AND {speed} BETWEEN 1 AND 60""".format(
+    speed=sql_round("trip_distance / nullif(dur_s / 3600.0::DOUBLE, 0)", 2))))
 def p17_faulty(spark, d):
     return cleaning.clean_trips(fixtures.faulty_trips(spark, d)).select(
         "pickup_datetime", "dropoff_datetime", "trip_distance", "passenger_count", "speed_mph"
@@ -262,17 +269,17 @@ def p17_v2(spark, d):
 
 @query("d08_clean_trips_doc", sql_from("prepared", """
 SELECT pickup_datetime, pickup_lat, pickup_lon, trip_distance, passenger_count,
-  round(raw_speed, 6) AS speed_mph FROM prepared
+  raw_speed AS speed_mph FROM prepared
 WHERE pickup_lat BETWEEN 40.5::DOUBLE AND 40.95::DOUBLE
   AND pickup_lon BETWEEN -74.3::DOUBLE AND -73.7::DOUBLE
   AND dropoff_lat BETWEEN 40.5::DOUBLE AND 40.95::DOUBLE
   AND dropoff_lon BETWEEN -74.3::DOUBLE AND -73.7::DOUBLE
   AND dur_s > 0 AND dur_s < 10800 AND trip_distance > 0 AND passenger_count BETWEEN 1 AND 9"""))
 def d08(spark, d):
-    return rounded(views.clean(spark, d, profiles.DOCUMENTED).select(
+    return views.clean(spark, d, profiles.DOCUMENTED).select(
         "pickup_datetime", "pickup_lat", "pickup_lon", "trip_distance", "passenger_count",
         "speed_mph",
-    ), 6, ["speed_mph"])
+    )
 
 
 @query("p18_filter_pick", """
@@ -295,13 +302,13 @@ def p19_gps(spark, d):
 
 
 @query("p19_trip_events", sql_from("trip_events", """
-SELECT * EXCLUDE (event_ts) REPLACE (round(fare_amount, 6) AS fare_amount) FROM trip_events"""))
+SELECT * EXCLUDE (event_ts) FROM trip_events"""))
 def p19_trip(spark, d):
-    return rounded(events.trip_events(views.clean(spark, d)), 6, ["fare_amount"])
+    return events.trip_events(views.clean(spark, d))
 
 
 @query("p20_clamps", sql_from("prepared", """
-SELECT pickup_datetime, greatest(1.0::DOUBLE, least(60.0::DOUBLE, round(raw_speed, 6))) AS speed,
+SELECT pickup_datetime, greatest(1.0::DOUBLE, least(60.0::DOUBLE, raw_speed)) AS speed,
   greatest(40.4774::DOUBLE, least(40.9176::DOUBLE, pickup_lat)) AS pickup_lat,
   greatest(-74.2591::DOUBLE, least(-73.7004::DOUBLE, pickup_lon)) AS pickup_lon
 FROM prepared"""))
@@ -309,7 +316,7 @@ def p20(spark, d):
     trips = _prepared(spark, d, profiles.COMPACT)
     pulled = cleaning.clamp_to_box(trips, "pickup_lat", "pickup_lon")
     return pulled.select(
-        "pickup_datetime", clamp(F.round("speed_mph", 6), 1.0, 60.0).alias("speed"),
+        "pickup_datetime", clamp("speed_mph", 1.0, 60.0).alias("speed"),
         "pickup_lat", "pickup_lon",
     )
 
@@ -408,25 +415,25 @@ query("l06_window_level", _label_sql(">= 15", ">= 8", "Low", "Medium", "High"))(
 
 
 @query("l04_speed_index", sql_from("cells", f"""
-SELECT cell_id, hour_bucket, round({sql_speed_index('avg_speed')}, 6) AS congestion_index
+SELECT cell_id, hour_bucket, {sql_speed_index('avg_speed')} AS congestion_index
 FROM cells"""))
 def l04(spark, d):
-    return rounded(views.labelled(spark, d).select(
+    return views.labelled(spark, d).select(
         "cell_id", "hour_bucket", labels.speed_index("avg_speed").alias("congestion_index")
-    ), 6)
+    )
 
 
 @query("l05_piecewise_index", sql_from("cells", f"""
-SELECT cell_id, hour_bucket, round({sql_piecewise('avg_speed', 0.10, 0.95)}, 6) AS batch_index,
-  round({sql_piecewise('avg_speed', 0.05, 0.98)}, 6) AS live_index,
+SELECT cell_id, hour_bucket, {sql_piecewise('avg_speed', 0.10, 0.95)} AS batch_index,
+  {sql_piecewise('avg_speed', 0.05, 0.98)} AS live_index,
   {sql_level('avg_speed', 'low', 'medium', 'high', '>')} AS level FROM cells"""))
 def l05(spark, d):
-    return rounded(views.labelled(spark, d).select(
+    return views.labelled(spark, d).select(
         "cell_id", "hour_bucket",
         labels.piecewise_index("avg_speed").alias("batch_index"),
         labels.piecewise_index("avg_speed", profiles.INDEX_CLAMP_LIVE).alias("live_index"),
         labels.piecewise_level("avg_speed").alias("level"),
-    ), 6)
+    )
 
 
 @query("l07_event_rule", sql_from("gps", """

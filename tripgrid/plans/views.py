@@ -71,9 +71,14 @@ _RAW = """raw AS (
     l_extendedprice / 1000.0::DOUBLE * (1.0::DOUBLE + l_tax) AS total_amount
   FROM timed)"""
 
-_PREPARED = """prepared AS (
+def sql_round(value: str, digits: int) -> str:
+    """Half-up rounding of the shortest decimal text of a double, as Spark rounds doubles."""
+    return f"round(({value})::VARCHAR::DECIMAL(38,18), {digits})::DOUBLE"
+
+
+_PREPARED = f"""prepared AS (
   SELECT *, dur_s / 3600.0::DOUBLE AS duration_hours,
-    round(trip_distance / nullif(dur_s / 3600.0::DOUBLE, 0), 2) AS speed_mph,
+    {sql_round('trip_distance / nullif(dur_s / 3600.0::DOUBLE, 0)', 2)} AS speed_mph,
     trip_distance / nullif(dur_s / 3600.0::DOUBLE, 0) AS raw_speed,
     (pickup_lat BETWEEN 40.4774::DOUBLE AND 40.9176::DOUBLE
      AND pickup_lon BETWEEN -74.2591::DOUBLE AND -73.7004::DOUBLE
@@ -108,7 +113,7 @@ def sql_mean(value: str, digits: int) -> str:
 
 
 def sql_percent(part: str, whole: str, digits: int = 1) -> str:
-    return f"round(({part}) * 100.0::DOUBLE / ({whole}), {digits})"
+    return sql_round(f"({part}) * 100.0::DOUBLE / ({whole})", digits)
 
 
 def sql_band(value: str, bands) -> str:
@@ -183,12 +188,12 @@ _FEATURES = """features AS (
 
 _STATE = f"""state AS (
   SELECT 'cell_' || cell_lat || '_' || cell_lon AS cell_id,
-    round(40.4855::DOUBLE + (cell_lat + 0.5::DOUBLE) * 0.0096::DOUBLE, 6) AS latitude,
-    round(-74.2567::DOUBLE + (cell_lon + 0.5::DOUBLE) * 0.009928::DOUBLE, 6) AS longitude,
-    round({sql_piecewise('speed', 0.10, 0.95)}, 3) AS congestion_index,
+    {sql_round('40.4855::DOUBLE + (cell_lat + 0.5::DOUBLE) * 0.0096::DOUBLE', 6)} AS latitude,
+    {sql_round('-74.2567::DOUBLE + (cell_lon + 0.5::DOUBLE) * 0.009928::DOUBLE', 6)} AS longitude,
+    {sql_round(sql_piecewise('speed', 0.10, 0.95), 3)} AS congestion_index,
     {sql_level('speed', 'low', 'medium', 'high', '>')} AS congestion_level,
     greatest(1, trunc(trips)::BIGINT) AS vehicle_count,
-    round(speed, 1) AS avg_speed, trunc(mean_hour)::INT AS hour,
+    {sql_round('speed', 1)} AS avg_speed, trunc(mean_hour)::INT AS hour,
     zone = 1 AS is_manhattan, last_update, 'batch' AS source
   FROM (SELECT cell_lat, cell_lon, {sql_mean('historical_avg_speed', 6)} AS speed,
           avg(prev_trip_count) AS trips, avg(hour) AS mean_hour,
@@ -258,7 +263,7 @@ _GPS = f"""gps AS (
     'taxi_' || (10000 + (epoch(pickup_datetime)::BIGINT + cell_lat * 31 + cell_lon * 17) % 90000)
       AS vehicle_id,
     pickup_lat AS latitude, pickup_lon AS longitude, cell_id, cell_lat, cell_lon,
-    round(greatest(0.0::DOUBLE, speed_mph), 2) AS speed,
+    {sql_round('greatest(0.0::DOUBLE, speed_mph)', 2)} AS speed,
     ((floor(degrees(atan2(dropoff_lon - pickup_lon, dropoff_lat - pickup_lat)))::BIGINT % 360
       + 360) % 360)::INT AS heading,
     'trip_' || substr(digest, 13, 8) AS trip_id,
@@ -276,7 +281,7 @@ _TRIP_EVENTS = f"""trip_events AS (
     strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S') AS pickup_datetime,
     strftime(dropoff_datetime, '%Y-%m-%dT%H:%M:%S') AS dropoff_datetime,
     pickup_lat, pickup_lon, dropoff_lat, dropoff_lon, trip_distance,
-    round(duration_hours * 60.0::DOUBLE, 2) AS duration_minutes,
+    {sql_round('duration_hours * 60.0::DOUBLE', 2)} AS duration_minutes,
     greatest(1.0::DOUBLE, least(60.0::DOUBLE, speed_mph)) AS speed_mph,
     passenger_count, fare_amount,
     cell_lat || '_' || cell_lon AS cell_id, cell_lat, cell_lon, hour,

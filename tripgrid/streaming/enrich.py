@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripgrid import profiles
+from tripgrid.functions.numeric import stable_avg
 from tripgrid.operators.features import with_lags
 
 # stand-in inputs for cells without history
@@ -24,7 +25,7 @@ def history_snapshot(cells: DataFrame) -> DataFrame:
     """
     history = cells.groupBy(*_CELL, "hour").agg(
         F.avg("trip_count").alias("historical_avg_trips"),
-        F.avg("avg_speed").alias("historical_avg_speed"),
+        stable_avg("avg_speed", 6).alias("historical_avg_speed"),
     )
     newest = with_lags(cells).groupBy(*_CELL).agg(
         F.max_by(

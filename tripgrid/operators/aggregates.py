@@ -140,19 +140,26 @@ def cell_hour_profile(monthly: DataFrame) -> DataFrame:
 
 
 def cell_statistics(cells: DataFrame) -> DataFrame:
-    """Typical values per cell and its most frequent label, the smallest one on ties."""
+    """Typical values per cell and its most frequent label, the smallest one on ties.
+
+    Three counters stand for the mode: their buffer has a fixed size, where a generic mode
+    keeps a map of values per group.
+    """
+    counter = lambda label: F.count_if(F.col("congestion_label") == label)
     stats = cells.groupBy("cell_id").agg(
         F.min_by("cell_lat", "hour_bucket").alias("latitude"),
         F.min_by("cell_lon", "hour_bucket").alias("longitude"),
         stable_avg("avg_speed", 6).alias("typical_speed"),
         F.avg("vehicle_count").alias("typical_vehicle_count"),
         stable_avg("congestion_index", 6).alias("typical_congestion"),
-        F.mode("congestion_label", True).alias("dominant_congestion_level"),
+        *[counter(label).alias(f"_n{label}") for label in (0, 1, 2)],
     )
-    return stats.withColumn(
+    low, medium, high = F.col("_n0"), F.col("_n1"), F.col("_n2")
+    mode = F.when(low >= F.greatest(medium, high), 0).when(medium >= high, 1).otherwise(2)
+    return stats.withColumn("dominant_congestion_level", mode).withColumn(
         "dominant_congestion",
         labels.level_name("dominant_congestion_level", profiles.LABELS_LEGACY),
-    )
+    ).drop("_n0", "_n1", "_n2")
 
 
 def trip_statistics(trips: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from tripgrid.plans import (
     aggregate_queries,
     cleaning_queries,
     io_queries,
+    ml_queries,
     quality_queries,
     state_queries,
     streaming_queries,
@@ -14,8 +15,8 @@ from tripgrid.plans.registry import ORACLES, QUERIES, Query
 
 
 MODULES = (
-    aggregate_queries, cleaning_queries, io_queries, quality_queries, state_queries,
-    streaming_queries,
+    aggregate_queries, cleaning_queries, io_queries, ml_queries, quality_queries,
+    state_queries, streaming_queries,
 )
 
 

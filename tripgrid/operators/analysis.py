@@ -183,7 +183,8 @@ def exact_quantiles(
     3. Only the intervals holding a wanted rank are joined back to their distinct values,
        and the cumulative count inside one interval finds the value.
 
-    The result holds one row per key with the count and one column per probability.
+    The result holds one row per key with the count and one column per probability; rows
+    with a missing key are left out.
     """
     keys = list(keys)
     counted = (
@@ -191,6 +192,9 @@ def exact_quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_slot", F.floor(F.col("_v") / width))
+        # The join below implies these tests. Stated here, both readers of ``counted`` have
+        # the same plan and the second one reuses the shuffle of the first.
+        .filter(" AND ".join(f"{name} IS NOT NULL" for name in [*keys, "_slot"]))
     )
     slots = counted.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_n"))
     by_key = Window.partitionBy(*keys)

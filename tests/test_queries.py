@@ -32,3 +32,9 @@ def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns[:3] == ["cell_id", "cell_lat", "cell_lon"]
     assert df.count() == 4648
+
+
+def test_global_sort_is_in_order(spark):
+    rows = [(-r["c_acctbal"], r["c_custkey"]) for r in
+            QUERIES["o01_global_sort"](spark, SMALL).collect()]
+    assert rows == sorted(rows)

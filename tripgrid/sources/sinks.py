@@ -52,12 +52,14 @@ def copy_table(spark: SparkSession, source: str, target: str, fmt: str = "parque
 def readable_export(df: DataFrame, folder: str, sample_rows: int = 1000) -> None:
     """Schema, statistics and a CSV sample of a table, and all of it when it is short.
 
-    Only the bounded parts are coalesced to one file.
+    The sample is taken from as few partitions as hold it; a limit inside the plan would
+    make every task of a large table send its share. Only bounded parts become one file.
     """
     write_csv(quality.schema_table(df).coalesce(1), f"{folder}/schema")
     write_csv(quality.describe_numeric(df).coalesce(1), f"{folder}/statistics")
-    write_csv(df.limit(sample_rows).coalesce(1), f"{folder}/sample")
-    if df.limit(FULL_EXPORT_ROWS + 1).count() <= FULL_EXPORT_ROWS:
+    sample = df.sparkSession.createDataFrame(df.take(sample_rows), df.schema)
+    write_csv(sample.coalesce(1), f"{folder}/sample")
+    if df.count() <= FULL_EXPORT_ROWS:
         write_csv(df.coalesce(1), f"{folder}/full")
 
 

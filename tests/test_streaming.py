@@ -3,9 +3,6 @@
 import datetime as dt
 import json
 
-import pytest
-from pyspark.sql import functions as F
-
 from tests.conftest import SMALL
 from tripgrid.operators.state import latest_per_key
 from tripgrid.plans import views

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm import byte_bpe, html_text, quality, token_files
+from tripgrid.llm import byte_bpe, html_text, language, quality, token_files
 from tripgrid.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    fitted = language.fit(docs.filter(~F.col("held_out")))
+    found = docs.select("doc_id", "held_out", language.predict(F.col("text"), fitted).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.score_quality(docs, ["doc_id"])
@@ -52,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
+    "op6_language_id": op6_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}

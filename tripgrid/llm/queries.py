@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm import byte_bpe, html_text, language, quality, token_files
+from tripgrid.llm import byte_bpe, html_text, language, pii, quality, token_files
 from tripgrid.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
+SURROGATE_KEY = "corpus-2024"  # a deployment passes its own
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -51,6 +52,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_pii(docs, SURROGATE_KEY)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.score_quality(docs, ["doc_id"])
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm import byte_bpe, html_text, language, pii, quality, token_files
+from tripgrid.llm import byte_bpe, decontaminate, html_text, language, pii, quality, token_files
 from tripgrid.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +52,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.with_verdict(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace_pii(docs, SURROGATE_KEY)
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
+    "op7_decontamination": op7_decontamination,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -16,20 +16,22 @@ vocabulary raise; repeated rows give repeated results; other columns are handed
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripgrid.llm.common import append_column
+
 NONE = np.int32(2**31 - 1)
 LONGEST_ROW = 1024
 BLOCK = 1024
-KEPT_PIECES = 400_000
-CHARS_AT_ONCE = 1_000_000
+KEPT_PIECES = 200_000
+CHARS_AT_ONCE = 500_000
 
 
 class PairTable:
@@ -248,29 +250,24 @@ def codec(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def encode(text: Column, path: str, pattern: str) -> Column:
-    """Ids of a text column, as little-endian unsigned 32-bit integers in a binary column."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Adds the ids of a text column as little-endian unsigned 32-bit integers in a binary column."""
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def compute() -> Callable[[list], list]:
         bpe = codec(path, pattern)
-        for batch in batches:
-            ids = bpe.encode([x or "" for x in batch])
-            yield pd.Series([x.astype("<u4").tobytes() for x in ids], dtype="object")
+        return lambda texts: [x.astype("<u4").tobytes() for x in bpe.encode([t or "" for t in texts])]
 
-    return run(text)
+    return append_column(docs, text, ids, pa.binary(), "binary", compute)
 
 
-def decode(ids: Column, path: str, pattern: str) -> Column:
-    """Bytes that a binary id column stands for."""
+def decode(coded: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "bytes") -> DataFrame:
+    """Adds the bytes that a binary id column stands for."""
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def compute() -> Callable[[list], list]:
         bpe = codec(path, pattern)
-        for batch in batches:
-            yield pd.Series([bpe.decode(np.frombuffer(x or b"", "<u4")) for x in batch], dtype="object")
+        return lambda rows: [bpe.decode(np.frombuffer(x or b"", "<u4")) for x in rows]
 
-    return run(ids)
+    return append_column(coded, ids, out, pa.binary(), "binary", compute)
 
 
 def n_ids(ids: Column) -> Column:

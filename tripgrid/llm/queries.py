@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm import byte_bpe, decontaminate, html_text, language, pii, quality, token_files
+from tripgrid.llm import byte_bpe, decontaminate, html_text, language, lm_score, pii, quality, token_files
 from tripgrid.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -25,10 +25,8 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.select("doc_id", byte_bpe.encode(F.col("text"), BYTE_RANKS, public_tokenizers.PATTERN).alias("ids"))
-    decoded = coded.select(
-        "doc_id", "ids", byte_bpe.decode(F.col("ids"), BYTE_RANKS, public_tokenizers.PATTERN).alias("bytes")
-    )
+    coded = byte_bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
+    decoded = byte_bpe.decode(coded, BYTE_RANKS, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id",
         byte_bpe.n_ids(F.col("ids")).alias("n_tokens"),
@@ -44,6 +42,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs, table(spark, sf_dir, "labels"), ["doc_id"])
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
@@ -71,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_pii_surrogates": op8_pii_surrogates,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +74,40 @@ def append_column(df: DataFrame, source: str, name: str, kind: pa.DataType, ddl:
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
     return df.mapInArrow(run, ", ".join([*fields, f"`{name}` {ddl}"]))
+
+
+class Words:
+    """Hashes of words, remembered up to a bounded number."""
+
+    KEPT = 400_000
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
+
+    def hashes(self, words: list[bytes]) -> np.ndarray:
+        if len(self.known) > self.KEPT:
+            self.known = {}
+        get, learn = self.known.get, self.known.setdefault
+        return np.fromiter((get(w) or learn(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spreads all bits of 64-bit values over all bits."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return h ^ (h >> np.uint64(33))
+
+
+class Rolling:
+    """Hashes of any stretch of a sequence of word hashes, from prefix sums."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+    def __init__(self, h: np.ndarray) -> None:
+        power = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(len(h), self.BASE))))
+        self.back = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(len(h), self.INVERSE))))
+        self.sums = np.concatenate(([np.uint64(0)], np.add.accumulate(h * power[: len(h)], dtype=np.uint64)))
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[stop] - self.sums[start]) * self.back[start] + (stop - start).astype(np.uint64))

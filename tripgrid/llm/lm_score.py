@@ -22,38 +22,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrid.llm.common import join_small, stored
+from tripgrid.llm.common import Words, join_small, stored
 
 BLOCK_BITS = 14
-KEPT_WORDS = 500_000
 DOCS_AT_ONCE = 500
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Words:
-    """Hashes of words, remembered up to a bounded number."""
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def hashes(self, text: str | None) -> np.ndarray:
-        words = text.encode().split() if text else []
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        get, learn = self.known.get, self.known.setdefault
-        return np.fromiter((get(w) or learn(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))
-
-
 def buckets(words: Words, texts: list[str | None], word_bits: int, pair_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word buckets, neighbour buckets and tokens per text, all texts one after another.
 
     A text's first word has the neighbour bucket of a pair with a start mark.
     """
-    h = [words.hashes(t) for t in texts]
+    h = [words.hashes(t.encode().split() if t else []) for t in texts]
     sizes = np.array([len(x) for x in h], np.int64)
     flat = np.concatenate([np.empty(0, np.uint64), *h])
     before = np.empty_like(flat)

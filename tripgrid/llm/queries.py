@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm import byte_bpe, decontaminate, html_text, language, lm_score, pii, quality, token_files
+from tripgrid.llm import byte_bpe, decontaminate, html_text, language, lm_score, pii, quality, substrings, token_files
 from tripgrid.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, ["doc_id"])
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substrings.remove_repeats(docs, ["doc_id"])
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op3_byte_bpe": op3_byte_bpe,
@@ -79,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_quality_rules": op9_quality_rules,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -4,7 +4,7 @@ Documents are encoded with a tokenizer file, an end id closes each, and the ids
 in the order of doc_id. A shard is two files in the Arrow file format (record batches that can be
 read in any order):
 
-``<name>.arrow``       ``tokens``: fixed_size_list<uint32>[length], ``mask``: fixed_size_list<uint8>[length]
+``<name>.arrow``       ``tokens``: fixed_size_list<uint16 or uint32, by vocabulary>[length], ``mask``: fixed_size_list<uint8>[length]
                        (1 on tokens, 0 on the padding of a shard's last sequence)
 ``<name>.docs.arrow``  one row per document: its columns, ``start`` within the shard, ``n_tokens``
 
@@ -23,6 +23,7 @@ result; other columns are left out unless named.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -36,8 +37,11 @@ from pyspark.sql.window import Window
 from tripgrid.llm.common import stored
 from tripgrid.session import scratch_dir
 
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_200_000
 WORDS_AT_ONCE = 2_000
+TAILS = b",."
+# Latin letters that normalising and lower-casing leave single letters
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 CHARS_AT_ONCE = 1_000_000
 
 
@@ -56,11 +60,17 @@ class WordMemo:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         (self.mark,) = self._encode(["\0"])[0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.tails = np.zeros(256, np.uint32)
+        for c in TAILS:
+            (self.tails[c],) = self._encode([chr(c)])[0]
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
+        self.flat = np.empty(1 << 16, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
         self.used = 0
@@ -69,26 +79,69 @@ class WordMemo:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
-    def _learn(self, new: list[bytes]) -> None:
-        odd = [w for w in new if 0 in w]
-        plain = [w for w in new if 0 not in w] if odd else new
-        new = plain + odd
-        parts = [b" \0 ".join([*plain[k : k + WORDS_AT_ONCE], b""]).decode() for k in range(0, len(plain), WORDS_AT_ONCE)]
-        ids = np.concatenate([np.empty(0, np.uint32), *self._encode(parts)])
+    def _ask(self, new: list[bytes]) -> None:
+        """Learn words from the library.
+
+        Words of letters alone are never cut, so their ends show in the tokens that end a word;
+        between the others goes a mark, and those with the mark's character go one by one.
+        """
+        texts = [w.decode() for w in new]
+        whole = [t for t in texts if LETTERS.fullmatch(t)]
+        mixed = [t for t in texts if "\0" not in t and not LETTERS.fullmatch(t)]
+        alone = [t for t in texts if "\0" in t]
+        at_once = range(0, max(len(whole), len(mixed)), WORDS_AT_ONCE)
+        ids = np.concatenate([np.empty(0, np.uint32), *self._encode([" ".join(whole[k : k + WORDS_AT_ONCE]) for k in at_once])])
+        self._keep(whole, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
+        ids = np.concatenate(
+            [np.empty(0, np.uint32), *self._encode([" \0 ".join([*part, ""]) for k in at_once if (part := mixed[k : k + WORDS_AT_ONCE])])]
+        )
         marks = np.flatnonzero(ids == self.mark)
-        single = self._encode([w.decode() for w in odd])
-        sizes = np.concatenate([np.diff(marks, prepend=-1) - 1, [len(x) for x in single]]).astype(np.int64)
-        ids = np.concatenate([np.delete(ids, marks), *single])
-        first = len(self.known)
-        while first + len(new) > len(self.start):
+        self._keep(mixed, np.delete(ids, marks), np.diff(marks, prepend=-1) - 1)
+        single = self._encode(alone)
+        self._keep(alone, np.concatenate([np.empty(0, np.uint32), *single]), np.array([len(x) for x in single], np.int64))
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, n = len(self.known), len(words)
+        while first + n > len(self.start):
             self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
-        while self.used + sizes.sum() > len(self.flat):
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.start[first : first + len(new)] = self.used + np.cumsum(sizes) - sizes
-        self.length[first : first + len(new)] = sizes
-        self.flat[self.used : self.used + sizes.sum()] = ids
-        self.used += int(sizes.sum())
-        self.known.update(zip(new, range(first, first + len(new)), strict=True))
+        self.start[first : first + n] = self.used + np.cumsum(sizes) - sizes
+        self.length[first : first + n] = sizes
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.known.update(zip(map(str.encode, words), range(first, first + n), strict=True))
+
+    def _learn(self, new: set[bytes]) -> None:
+        """A letter and a comma or stop after it are always cut apart, and case is dropped, so
+        words are learned from their lower-case stems."""
+        stems, tails = [], []
+        for w in new:
+            stem = w.lower()
+            cut = len(stem) > 1 and stem[-1] in TAILS and 97 <= stem[-2] <= 122
+            stems.append(stem[:-1] if cut else stem)
+            tails.append(stem[-1] if cut else 0)
+        if ask := sorted(set(stems).difference(self.known)):
+            self._ask(ask)
+        rest = [(w, s, t) for w, s, t in zip(new, stems, tails, strict=True) if w not in self.known]
+        if not rest:
+            return
+        codes = np.fromiter((self.known[s] for _, s, _ in rest), np.int64, len(rest))
+        tail = np.array([t for _, _, t in rest])
+        sizes = self.length[codes] + (tail > 0)
+        stops = np.cumsum(sizes)
+        ids = np.empty(stops[-1], self.flat.dtype)
+        at = np.ones(stops[-1], bool)
+        at[stops[tail > 0] - 1] = False
+        ids[at] = self._gather(codes)
+        ids[~at] = self.tails[tail[tail > 0]]
+        self._keep([w.decode() for w, _, _ in rest], ids, sizes)
+
+    def _gather(self, codes: np.ndarray) -> np.ndarray:
+        """Ids of the words with these codes, one after another."""
+        sizes = self.length[codes]
+        stops = np.cumsum(sizes)
+        return self.flat[np.repeat(self.start[codes] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
@@ -99,14 +152,11 @@ class WordMemo:
             ends.append(len(words))
         if len(self.known) > KEPT_WORDS or self.used > 4 * KEPT_WORDS:
             self._forget()
-        if new := sorted(set(words).difference(self.known)):
+        if new := set(words).difference(self.known):
             self._learn(new)
         codes = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        sizes = self.length[codes]
-        stops = np.cumsum(sizes)
-        total = int(stops[-1]) if len(stops) else 0
-        ids = self.flat[np.repeat(self.start[codes] - (stops - sizes), sizes) + np.arange(total)]
-        return ids, np.diff(np.concatenate(([0], stops))[ends])
+        stops = np.concatenate(([0], np.cumsum(self.length[codes])))
+        return self._gather(codes), np.diff(stops[ends])
 
 
 _memo: dict[str, WordMemo] = {}
@@ -127,12 +177,13 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 class ShardWriter:
     """Writes one shard; holds one batch of sequences at a time."""
 
-    def __init__(self, folder: str, length: int, rows: int, columns: pa.Schema) -> None:
+    def __init__(self, folder: str, length: int, rows: int, kind: np.dtype, columns: pa.Schema) -> None:
+        self.kind = np.dtype(kind)
         self.name, self.length, self.rows = uuid.uuid4().hex, length, rows
         self.path = f"{folder}/{self.name}.arrow"
         self.files, root = filesystem(folder)
         self.files.create_dir(root, recursive=True)
-        self.schema = pa.schema([("tokens", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(self.kind), length)), ("mask", pa.list_(pa.uint8(), length))])
         self.index = pa.schema([*columns, pa.field("start", pa.int64()), pa.field("n_tokens", pa.int64())])
         self.sinks = [self.files.open_output_stream(f"{root}/{self.name}{end}") for end in (".arrow", ".docs.arrow")]
         self.out = [pa.ipc.new_file(s, x) for s, x in zip(self.sinks, (self.schema, self.index), strict=True)]
@@ -143,8 +194,8 @@ class ShardWriter:
         pad = -len(ids) % self.length
         mask = np.ones(len(ids) + pad, np.uint8)
         if pad:
-            ids, mask[-pad:] = np.concatenate([ids, np.zeros(pad, np.uint32)]), 0
-        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids.astype(np.uint32), mask)]
+            ids, mask[-pad:] = np.concatenate([ids, np.zeros(pad, self.kind)]), 0
+        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids.astype(self.kind, copy=False), mask)]
         self.out[0].write_batch(pa.record_batch(columns, schema=self.schema))
 
     def add(self, columns: list[pa.Array], ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -227,7 +278,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, length: int = 204
                 continue
             if writer is None:
                 lead = (batch.column("doc_id")[0].as_py(), batch.column("hash")[0].as_py())
-                writer = ShardWriter(folder, length, rows, pa.schema([batch.schema.field("doc_id")]))
+                writer = ShardWriter(folder, length, rows, words.flat.dtype, pa.schema([batch.schema.field("doc_id")]))
             texts = batch.column("text")
             sizes = pa.compute.binary_length(texts).to_numpy()
             cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // CHARS_AT_ONCE, prepend=0)).tolist()

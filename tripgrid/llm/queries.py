@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm import byte_bpe, decontaminate, html_text, language, lm_score, pii, quality, substrings, token_files
+from tripgrid.llm import byte_bpe, decontaminate, html_text, jaccard_join, language, lm_score, pii, quality, substrings, token_files
 from tripgrid.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = byte_bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
@@ -78,6 +82,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_files": op4_token_files,
     "op5_lm_scoring": op5_lm_scoring,

@@ -20,10 +20,10 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripgrid.llm.common import append_column
 
@@ -257,7 +257,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
         bpe = codec(path, pattern)
         return lambda texts: [x.astype("<u4").tobytes() for x in bpe.encode([t or "" for t in texts])]
 
-    return append_column(docs, text, ids, pa.binary(), "binary", compute)
+    return append_column(docs, text, ids, T.BinaryType(), compute)
 
 
 def decode(coded: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "bytes") -> DataFrame:
@@ -267,7 +267,7 @@ def decode(coded: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
         bpe = codec(path, pattern)
         return lambda rows: [bpe.decode(np.frombuffer(x or b"", "<u4")) for x in rows]
 
-    return append_column(coded, ids, out, pa.binary(), "binary", compute)
+    return append_column(coded, ids, out, T.BinaryType(), compute)
 
 
 def n_ids(ids: Column) -> Column:

@@ -9,6 +9,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tripgrid.session import scratch_dir
 
@@ -57,23 +59,26 @@ def free_name(taken: Sequence[str], name: str) -> str:
     return name
 
 
-def append_column(df: DataFrame, source: str, name: str, kind: pa.DataType, ddl: str, compute: Callable[[], Callable[[list], list]], rows: int = 200) -> DataFrame:
+def append_column(
+    df: DataFrame, source: str, name: str, kind: T.DataType, compute: Callable[[], Callable[[list], list]], rows: int = 200
+) -> DataFrame:
     """``df`` with the column ``name``, computed from ``source`` in Python.
 
     ``compute`` is called once per task and gives the function from values to values. Values leave
     in slices of ``rows`` rows, so a task never holds the results of a whole Arrow batch.
     """
 
+    arrow = to_arrow_type(kind)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = compute()
         for batch in batches:
             for k in range(0, batch.num_rows, rows):
                 part = batch.slice(k, rows)
-                new = pa.array(apply(part.column(source).to_pylist()), kind)
+                new = pa.array(apply(part.column(source).to_pylist()), arrow)
                 yield pa.RecordBatch.from_arrays([*part.columns, new], names=[*part.schema.names, name])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
-    return df.mapInArrow(run, ", ".join([*fields, f"`{name}` {ddl}"]))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
 
 class Words:

@@ -114,20 +114,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, row: str, **options) ->
     )
 
 
-def identity(docs: DataFrame) -> Column:
-    """Tells documents apart: id and text; repeated rows are one document."""
-    return F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
-
-
-def with_verdict(docs: DataFrame, benchmark: DataFrame, broadcast_flags: int = 500_000, **options) -> DataFrame:
-    """``docs`` with contaminated, n_items, items and matched beside its columns."""
-    keyed = docs.withColumn("_key", identity(docs))
-    flags = stored(contaminated(keyed, benchmark, "_key", **options).withColumnRenamed("_key", "_flag"), "contaminated")
-    joined = join_small(keyed, flags, F.col("_key") == F.col("_flag"), "left", broadcast_flags)
+def with_verdict(docs: DataFrame, benchmark: DataFrame, keep: list[str], broadcast_flags: int = 500_000, **options) -> DataFrame:
+    """``keep`` and contaminated, n_items, items and matched; documents are told apart by ``keep`` and text."""
+    whole = docs.select(F.struct(*keep).alias("row"), "text")
+    keyed = whole.withColumn("key", F.struct(F.xxhash64("row", "text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")))
+    flags = stored(contaminated(keyed, benchmark, "key", **options).withColumnRenamed("key", "flag"), "contaminated")
+    joined = join_small(keyed.drop("text"), flags, F.col("key") == F.col("flag"), "left", broadcast_flags)
     none = F.array().cast(flags.schema["items"].dataType)
     return joined.select(
-        *docs.columns,
-        F.col("_flag").isNotNull().alias("contaminated"),
+        "row.*",
+        F.col("flag").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("items", none).alias("items"),
         F.coalesce("matched", F.lit(0)).alias("matched"),

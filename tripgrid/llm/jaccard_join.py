@@ -36,8 +36,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripgrid.llm.common import Rolling, Words, free_name, join_small, stored
 from tripgrid.llm.components import connected_components
@@ -117,7 +118,13 @@ def shingle_ranks(docs: DataFrame) -> np.ndarray:
 def _points(docs: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
     """Every row's set: size, digest, its first half as a number, and the first pivots."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    row = docs.schema["row"].dataType.simpleString()
+    schema = T.StructType(
+        [
+            docs.schema["row"], T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
+            T.StructField("n_shingles", T.LongType()), T.StructField("set_id", T.BinaryType()),
+            T.StructField("half", T.LongType()), T.StructField("pivots", T.ArrayType(T.LongType())),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, ranks = Words(), shared.value
@@ -140,9 +147,7 @@ def _points(docs: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
                     names=["row", "k1", "k2", "n_shingles", "set_id", "half", "pivots"],
                 )
 
-    return docs.mapInArrow(
-        run, f"row {row}, k1 long, k2 long, n_shingles long, set_id binary, half long, pivots array<long>"
-    )
+    return docs.mapInArrow(run, schema)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -346,6 +351,10 @@ def _region_links(rows: DataFrame, percent: int, leaf_shingles: int, leaf_points
     return out
 
 
+def _keys(row: Column) -> dict[str, Column]:
+    return {"k1": F.xxhash64(row, "text"), "k2": F.xxhash64("text", F.lit(1))}
+
+
 def near_duplicates(
     docs: DataFrame,
     keep: list[str],
@@ -361,9 +370,8 @@ def near_duplicates(
     of row and text), ``n_shingles``, ``set_id`` and ``label`` (equal for connected documents).
     Links: (a, b, similarity) between set ids, enough to connect every component.
     """
-    text = free_name(keep, "text")
-    whole = docs.select(F.struct(*keep).alias("row"), F.col("text").alias(text)).withColumnRenamed(text, "text")
-    keyed = whole.select("row", "text", F.xxhash64("row", "text").alias("k1"), F.xxhash64("text", F.lit(1)).alias("k2"))
+    whole = docs.select(F.struct(*keep).alias("row"), "text")
+    keyed = whole.withColumns(_keys(F.col("row")))
     points = stored(_points(keyed, shingle_ranks(whole), percent), "points")
 
     held = points.filter("n_shingles > 0").select("half", F.explode("pivots").alias("pivot"))
@@ -400,3 +408,29 @@ def components(docs: DataFrame, **options) -> DataFrame:
     joined = members.join(least, F.col("label") == F.col("of"), "left")
     own = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, **options) -> DataFrame:
+    """``docs`` with one row of every component: that of the least doc_id, null before all others.
+
+    Rows without words stay. Of equal rows one stays.
+    """
+    whole = free_name(docs.columns, "whole")
+    hashed = docs.withColumn(whole, F.xxhash64(*docs.columns))
+    members, _ = near_duplicates(hashed, ["doc_id", whole], broadcast_rows=broadcast_rows, **options)
+    linked = stored(members.filter("n_shingles > 0").select("row.doc_id", "k1", "k2", "label"), "members")
+    first = linked.groupBy("label").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
+    judged = linked.join(first, "label")
+    stays = (F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2"))
+    mark = {"k1": "j1", "k2": "j2"}
+    leaving = stored(judged.filter(~stays).select("k1", "k2").distinct(), "leaving").withColumnsRenamed(mark)
+    copies = stored(judged.filter(stays).groupBy("k1", "k2").count().filter("count > 1"), "copies").withColumnsRenamed(mark)
+    rows = hashed.select(F.struct(*docs.columns).alias("all"), F.struct("doc_id", whole).alias("row"), "text")
+    keyed = rows.withColumns(_keys(F.col("row")))
+    same = (F.col("k1") == F.col("j1")) & (F.col("k2") == F.col("j2"))
+    rest = join_small(keyed, leaving, same, "left_anti", broadcast_rows)
+    if copies.isEmpty():
+        return rest.select("all.*")
+    marked = join_small(rest, copies, same, "left", broadcast_rows)
+    once = marked.filter("count IS NOT NULL").dropDuplicates(["k1", "k2"])
+    return marked.filter("count IS NULL").unionByName(once).select("all.*")

@@ -258,11 +258,11 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
             raise ValueError("no distinct surrogates left for some entities")
 
 
-def replace_pii(docs: DataFrame, key: str) -> DataFrame:
-    """``docs`` with rewritten ``text`` and the column ``n_entities``."""
+def replace_pii(docs: DataFrame, key: str, count: str = "n_entities") -> DataFrame:
+    """``docs`` with rewritten ``text`` and the number of entities in the column ``count``."""
     row, spans = free_name(docs.columns, "row"), free_name(docs.columns, "spans")
     news = free_name(docs.columns, "news")
-    out = [c for c in docs.columns if c.lower() != "n_entities"]
+    out = docs.columns
     marked = stored(docs.withColumns({row: F.monotonically_increasing_id(), spans: detect(F.col("text"))}), "pii-spans")
     hit = F.size(spans) > 0
     spots = marked.filter(hit).select(F.col(row).alias("row"), F.explode(spans).alias("s")).select("row", "s.*")
@@ -272,5 +272,5 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     changed = marked.filter(hit).join(per_row, row)
     clean = marked.filter(~F.coalesce(hit, F.lit(False)))
     return changed.select(
-        *[rewrite(F.col("text"), F.col(news)).alias(c) if c == "text" else c for c in out], F.size(spans).cast("long").alias("n_entities")
-    ).unionByName(clean.select(*out, F.lit(0).cast("long").alias("n_entities")))
+        *[rewrite(F.col("text"), F.col(news)).alias(c) if c == "text" else c for c in out], F.size(spans).cast("long").alias(count)
+    ).unionByName(clean.select(*out, F.lit(0).cast("long").alias(count)))

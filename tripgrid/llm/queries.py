@@ -14,6 +14,7 @@ from tripgrid.llm.common import table
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 SURROGATE_KEY = "corpus-2024"  # a deployment passes its own
+PATTERN = public_tokenizers.PATTERN
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -29,8 +30,8 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = byte_bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
-    decoded = byte_bpe.decode(coded, BYTE_RANKS, public_tokenizers.PATTERN)
+    coded = byte_bpe.encode(docs, BYTE_RANKS, PATTERN).drop("text")
+    decoded = byte_bpe.decode(coded, BYTE_RANKS, PATTERN)
     return decoded.select(
         "doc_id",
         byte_bpe.n_ids(F.col("ids")).alias("n_tokens"),
@@ -61,7 +62,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.with_verdict(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return decontaminate.with_verdict(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

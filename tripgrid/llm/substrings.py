@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripgrid.llm.common import Rolling, Words, free_name, mixed, stored
+from tripgrid.llm.common import Rolling, Words, mixed, stored
 
 WINDOW = 35
 SEED = 12
@@ -136,7 +137,8 @@ def _split_windows(docs: DataFrame) -> DataFrame:
 
 def _cut(docs: DataFrame, out: list[str]) -> DataFrame:
     """``out``, n_words, n_removed and kept_text, given ``spans`` (start, windows) of repeated windows."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*out).schema.fields]
+    added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
+    schema = T.StructType([*docs.select(*out).schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,12 +162,12 @@ def _cut(docs: DataFrame, out: list[str]) -> DataFrame:
                     names=[*out, "n_words", "n_removed", "kept_text"],
                 )
 
-    return docs.mapInArrow(run, ", ".join([*fields, "n_words long", "n_removed long", "kept_text string"]))
+    return docs.mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` and n_words, n_removed and kept_text for every document; ``docs`` has ``text``."""
-    row = free_name(keep, "row")
+    row = "row"
     whole = docs.select(F.struct(*keep).alias(row), "text")
     k1, k2 = F.xxhash64("text", row), F.xxhash64(F.lit(1), "text")
     keyed = whole.select(row, "text", k1.alias("k1"), k2.alias("k2"))

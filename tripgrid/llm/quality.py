@@ -103,7 +103,7 @@ def base_failed() -> Column:
 
 def vector() -> dict[str, Column]:
     """Components in thousandths, as integers; defined for documents with a word."""
-    n = F.col("n_words").cast("double")
+    n = F.nullif(F.col("n_words").cast("double"), F.lit(0.0))
     raw = {
         "f_words": F.log(n + 1),
         "f_length": F.log(F.col("word_chars") / n),

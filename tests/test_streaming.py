@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from tests.conftest import SMALL
 from tripgrid.operators.state import latest_per_key
 from tripgrid.plans import views
@@ -28,8 +30,9 @@ def run_windows(spark, tmp_path, batches):
     path = write_files(spark, tmp_path / "in", batches)
     schema = spark.read.parquet(path).schema
     stream = queries.file_source(spark, path, schema, files_per_batch=1)
-    query = queries.to_parquet(
-        windows.window_aggregates(stream), str(tmp_path / "out"), str(tmp_path / "chk"), every=None
+    query = queries.start(
+        windows.window_aggregates(stream), queries.parquet(str(tmp_path / "out")),
+        str(tmp_path / "chk"), every=None,
     )
     queries.await_all([query])
     rows = spark.read.parquet(str(tmp_path / "out")).orderBy("window_start").collect()
@@ -52,11 +55,36 @@ def test_late_rows(spark, tmp_path):
 
 
 def test_progress_summary(spark, tmp_path):
+    totals = queries.watch_progress(spark)
     query, _ = run_windows(spark, tmp_path, [[(0, 1.0)], [(600, 1.0)]])
-    summary = queries.progress_summary(query)
+    summary = queries.progress_summary(query, totals)
+    spark.streams.removeListener(totals)
     assert summary["active"] and summary["input_rows"] == 2
 
 
+def test_a_failing_query_stops_the_set(spark, tmp_path):
+    """The failure of the second query is seen while the first one still runs."""
+    path = write_files(spark, tmp_path / "in", [[(0, 1.0)]])
+    stream = queries.file_source(spark, path, spark.read.parquet(path).schema)
+
+    def fail(batch, epoch):
+        raise ValueError("broken")
+
+    running = queries.to_batches(stream, lambda b, e: None, str(tmp_path / "c1"), every="1 second")
+    failing = queries.to_batches(stream, fail, str(tmp_path / "c2"), every="1 second")
+    with pytest.raises(Exception, match="broken"):
+        queries.await_all([running, failing], seconds=60)
+    assert not running.isActive and not failing.isActive
+
+
+def test_waiting_ends_at_the_deadline(spark, tmp_path):
+    path = write_files(spark, tmp_path / "in", [[(0, 1.0)]])
+    stream = queries.file_source(spark, path, spark.read.parquet(path).schema)
+    query = queries.to_batches(stream, lambda b, e: None, str(tmp_path / "c"), every="1 second")
+    queries.await_all([query], seconds=2)
+    assert not query.isActive
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "log")
     handle = queries.changelog_handler(path, "k", "t")
@@ -66,8 +94,11 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
         handle(batch, epoch)
     read = lambda p: sorted(map(tuple, queries.read_state(spark, p, "k", "t").collect()))
     assert read(path) == [("a", 5, 9), ("b", 1, 2)]
-    queries.compact_state(spark, path, str(tmp_path / "compact"), "k", "t")
-    assert read(str(tmp_path / "compact")) == read(path)
+    compact = str(tmp_path / "compact")
+    queries.compact_state(spark, path, compact, "k", "t")
+    assert read(compact) == read(path)
+    queries.changelog_handler(compact, "k", "t")(second.filter("v = 9").replace(9, 1, ["v"]), 0)
+    assert read(compact) == [("a", 5, 1), ("b", 1, 2)]
 
 
 def test_latest_per_key_breaks_ties_by_the_whole_row(spark):
@@ -115,7 +146,7 @@ def test_messages_carry_all_fields(spark):
 def test_console_sink(spark, tmp_path, capfd):
     schema = fixtures.table(spark, SMALL, "nation").schema
     stream = queries.file_source(spark, f"{SMALL}/nation.parquet*", schema)
-    queries.await_all([queries.to_console(stream, every=None, rows=3, mode="append")])
+    queries.await_all([queries.start(stream, queries.console(rows=3), every=None)])
 
 
 def test_event_time_formats(spark):

@@ -20,25 +20,30 @@ def fixed_point(value, digits: int) -> Column:
     return F.floor(as_col(value) * float(10**digits) + 0.5)
 
 
-def _unscale(total: Column, n: Column, digits: int) -> Column:
-    return F.try_divide(total.cast("double"), n.cast("double") * float(10**digits))
+def _finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value.cast("double")) < float("inf"))
+
+
+def _mean(value: Column, digits: int, over) -> Column:
+    """Mean from fixed-point sums; NaN and infinities give what ``avg`` gives."""
+    total = over(F.sum(F.when(_finite(value), fixed_point(value, digits)).otherwise(0)))
+    odd = over(F.sum(F.when(~_finite(value), value.cast("double"))))
+    n = over(F.count(value))
+    return F.coalesce(odd, F.try_divide(total.cast("double"), n.cast("double") * float(10**digits)))
 
 
 def stable_avg(value, digits: int = 2) -> Column:
     """Mean of a column holding at most ``digits`` decimals, correctly rounded.
 
-    A long overflows at 9.2e18 units: 1.5e15 rows of 60.00 with two digits.
+    More decimals are rounded to ``digits`` row by row first. A long overflows at 9.2e18 units:
+    1.5e15 rows of 60.00 with two digits. NaN and infinities pass through as in ``avg``.
     """
-    value = as_col(value)
-    return _unscale(F.sum(fixed_point(value, digits)), F.count(value), digits)
+    return _mean(as_col(value), digits, lambda c: c)
 
 
 def stable_avg_over(value, window, digits: int = 6) -> Column:
     """``stable_avg`` as a window function."""
-    value = as_col(value)
-    return _unscale(
-        F.sum(fixed_point(value, digits)).over(window), F.count(value).over(window), digits
-    )
+    return _mean(as_col(value), digits, lambda c: c.over(window))
 
 
 def clamp(value, low: float | None = None, high: float | None = None) -> Column:

@@ -47,12 +47,14 @@ def traffic_state(features: DataFrame, source: str = "batch") -> DataFrame:
     )
 
 
-def current_traffic(state: DataFrame, min_index: float = 0.0, limit: int = 500) -> DataFrame:
-    return (
-        state.filter(F.col("congestion_index") >= min_index)
-        .orderBy(F.desc("congestion_index"), "cell_id")
-        .limit(limit)
+def current_traffic(
+    state: DataFrame, min_index: float = 0.0, limit: int | None = None
+) -> DataFrame:
+    """Cells from the most congested down; all of them unless ``limit`` is given."""
+    ordered = state.filter(F.col("congestion_index") >= min_index).orderBy(
+        F.desc("congestion_index"), "cell_id"
     )
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def hotspots(state: DataFrame, k: int = 10) -> DataFrame:
@@ -201,13 +203,13 @@ def bridge_state(windows: DataFrame) -> DataFrame:
     )
 
 
-def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the largest ``order`` per key, as a partial aggregate.
+def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """The row that is largest by ``order`` per key, as a partial aggregate.
 
     The whole row breaks ties, so the choice does not depend on arrival order.
     """
-    rest = [c for c in df.columns if c not in (key, order)]
-    row = F.struct(order, *rest)
+    rest = [c for c in df.columns if c not in (key, *order)]
+    row = F.struct(*order, *rest)
     newest = df.groupBy(key).agg(F.max(row).alias("r"))
     return newest.select(key, *[F.col(f"r.{c}").alias(c) for c in df.columns if c != key])
 

@@ -154,7 +154,18 @@ def r09(spark, d):
 SELECT date_trunc('second', event_ts) AS second, count(*) AS events_per_second,
   count(DISTINCT cell_id) AS active_cells FROM gps GROUP BY 1"""))
 def r10(spark, d):
-    return windows.event_rate(views.gps(spark, d))
+    return windows.event_rate(windows.second_counts(views.gps(spark, d)))
+
+
+@query("r10_event_rate_stream", sql_from("gps", """
+SELECT date_trunc('second', event_ts) AS second, count(*) AS events_per_second,
+  count(DISTINCT cell_id) AS active_cells FROM gps GROUP BY 1
+HAVING date_trunc('second', event_ts) + INTERVAL 1 SECOND
+  <= (SELECT max(event_ts) FROM gps) - INTERVAL 2 MINUTE"""))
+def r10_stream(spark, d):
+    """Counts per second and cell from a stream, rolled up on reading."""
+    counts = windows.second_counts(gps_stream(spark, d))
+    return windows.event_rate(_run_to_parquet(spark, counts, "rate"))
 
 
 @query("k10_message_payload", sql_from("gps", f"""
@@ -177,19 +188,52 @@ newest AS (SELECT cell_lat, cell_lon, trip_count AS prev_trip_count, avg_speed A
   QUALIFY row_number() OVER (PARTITION BY cell_lat, cell_lon ORDER BY hour_bucket DESC) = 1)
 SELECT event_id, event_ts, cell_id, speed, hour, day_of_week, month(event_ts)::INT AS month,
   is_weekend, is_rush_hour, is_night, g.cell_lat, g.cell_lon, is_manhattan AS is_manhattan_int,
-  prev_trip_count, prev_avg_speed, prev_congestion_label,
+  coalesce(prev_trip_count, 10) AS prev_trip_count,
+  coalesce(prev_avg_speed, 15.0::DOUBLE) AS prev_avg_speed,
+  coalesce(prev_congestion_label, 1) AS prev_congestion_label,
   coalesce(prev_2h_trip_count, 0) AS prev_2h_trip_count,
-  coalesce(prev_2h_avg_speed, 0) AS prev_2h_avg_speed, historical_avg_trips, historical_avg_speed
-FROM gps g JOIN history USING (cell_lat, cell_lon, hour) JOIN newest USING (cell_lat, cell_lon)"""
+  coalesce(prev_2h_avg_speed, 0) AS prev_2h_avg_speed,
+  coalesce(historical_avg_trips, 10.0::DOUBLE) AS historical_avg_trips,
+  coalesce(historical_avg_speed, 15.0::DOUBLE) AS historical_avg_speed
+FROM {events} g LEFT JOIN history USING (cell_lat, cell_lon, hour)
+  LEFT JOIN newest USING (cell_lat, cell_lon)"""
+
 
+def _snapshot_sql(events="gps", history=""):
+    return _SNAPSHOT_SQL.replace("{events}", events).replace("FROM lagged", f"FROM lagged {history}", 1)
 
-@query("j04_enriched_events", sql_from("lagged", _SNAPSHOT_SQL, "gps"))
+
+@query("j04_enriched_events", sql_from("lagged", _snapshot_sql(), "gps"))
 def j04(spark, d):
     path = scratch_dir(spark, "snapshot")
     enrich.history_snapshot(views.labelled(spark, d)).write.parquet(path)
     return enrich.enrich_events(views.gps(spark, d), spark.read.parquet(path))
 
 
+_STRANGE_SQL = """, strange AS (SELECT * REPLACE ((hour + 11) % 24 AS hour,
+  CASE WHEN cell_lat % 3 = 0 THEN cell_lon + 500 ELSE cell_lon END AS cell_lon) FROM gps)"""
+
+
+@query("j04_events_beyond_history", sql_from(
+    "lagged", _STRANGE_SQL + _snapshot_sql("strange", "WHERE hour < 12"), "gps"))
+def j04_beyond(spark, d):
+    """Events at hours their cell was never seen in keep the lags; unknown cells get stand-ins.
+
+    History is cut to the hours before noon, the lags are not.
+    """
+    path = scratch_dir(spark, "snapshot")
+    snapshot = enrich.history_snapshot(views.labelled(spark, d))
+    means = ("historical_avg_trips", "historical_avg_speed")
+    seen = {c: F.when(F.col("hour") < 12, F.col(c)) for c in means}
+    snapshot.withColumns(seen).write.parquet(path)
+    strange = views.gps(spark, d).withColumns({
+        "hour": ((F.col("hour") + 11) % 24).cast("int"),
+        "cell_lon": F.when(F.col("cell_lat") % 3 == 0, F.col("cell_lon") + 500)
+        .otherwise(F.col("cell_lon")),
+    })
+    return enrich.enrich_events(strange, spark.read.parquet(path))
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 
@@ -204,13 +248,11 @@ def gps_stream(spark, d):
     return events.with_event_time(events.gps_events(clean_trips(trips)))
 
 
-def _run_to_parquet(spark, df, purpose: str, **options):
+def _run_to_parquet(spark, df, purpose: str, partition_by: tuple[str, ...] = ()):
     """Run ``df`` into a Parquet sink until its input is used up and read the sink."""
     folder = scratch_dir(spark, purpose)
-    query_ = queries.to_parquet(
-        df, f"{folder}/data", f"{folder}/checkpoint", every=None, **options
-    )
-    queries.await_all([query_])
+    sink = queries.parquet(f"{folder}/data", partition_by)
+    queries.await_all([queries.start(df, sink, f"{folder}/checkpoint", every=None)])
     return spark.read.schema(df.schema).parquet(f"{folder}/data")
 
 
@@ -260,7 +302,7 @@ def r07(spark, d):
     queries.await_all([
         queries.to_batches(gps_stream(spark, d), handle, f"{folder}/checkpoint", every=None)
     ])
-    return spark.read.parquet(f"{folder}/data").drop("epoch")
+    return spark.read.parquet(f"{folder}/data").drop("run", "epoch")
 
 
 @query("r09_latest_state_stream", sql_from("gps", _BRIDGE_SQL))
@@ -282,9 +324,10 @@ def r11(spark, d):
     folder = scratch_dir(spark, "set")
     source = gps_stream(spark, d)
     queries.await_all([
-        queries.to_parquet(source, f"{folder}/raw", f"{folder}/c-raw", every=None),
-        queries.to_parquet(
-            windows.window_aggregates(source), f"{folder}/agg", f"{folder}/c-agg", every=None
+        queries.start(source, queries.parquet(f"{folder}/raw"), f"{folder}/c-raw", every=None),
+        queries.start(
+            windows.window_aggregates(source), queries.parquet(f"{folder}/agg"),
+            f"{folder}/c-agg", every=None,
         ),
     ])
     raw = spark.read.schema(source.schema).parquet(f"{folder}/raw")
@@ -293,19 +336,37 @@ def r11(spark, d):
     )
 
 
-@query("r12_progress_stream", """
-SELECT true AS active, count(*) AS input_rows FROM events""")
-def r12(spark, d):
+def _progress(spark, stream):
     folder = scratch_dir(spark, "progress")
-    speeds = fixtures.with_speed(table_stream(spark, d, "events"))
-    running = queries.to_parquet(speeds, f"{folder}/data", f"{folder}/checkpoint", every=None)
+    totals = queries.watch_progress(spark)
+    sink = queries.parquet(f"{folder}/data")
+    running = queries.start(stream, sink, f"{folder}/checkpoint", every=None)
     queries.await_all([running])
-    summary = queries.progress_summary(running)
+    summary = queries.progress_summary(running, totals)
+    spark.streams.removeListener(totals)
     return spark.createDataFrame(
-        [(summary["active"], summary["input_rows"])], "active boolean, input_rows bigint"
+        [(summary["active"], summary["batches"], summary["input_rows"])],
+        "active boolean, batches bigint, input_rows bigint",
     )
 
 
+@query("r12_progress_stream", """
+SELECT true AS active, count(*) AS input_rows FROM events""")
+def r12(spark, d):
+    stream = fixtures.with_speed(table_stream(spark, d, "events"))
+    return _progress(spark, stream).drop("batches")
+
+
+@query("r12_progress_many_batches_stream", """
+SELECT true AS active, 105::BIGINT AS batches, count(*) AS input_rows FROM events""")
+def r12_many(spark, d):
+    """More batches than a query remembers: one file each."""
+    path = scratch_dir(spark, "many")
+    table = fixtures.table(spark, d, "events")
+    table.repartitionByRange(105, "event_id").write.parquet(path)
+    return _progress(spark, queries.file_source(spark, path, table.schema, files_per_batch=1))
+
+
 @query("k08_partitioned_sink_stream", _GENERIC + """
 SELECT cell_id, count(*) AS row_count, count(DISTINCT event_id) AS events FROM speeds
 GROUP BY cell_id""")
@@ -328,8 +389,8 @@ def k09(spark, d):
     speeds = fixtures.with_speed(table_stream(spark, d, "events"))
     hourly = windows.window_aggregates(speeds, "1 hour", keys=("cell_id",))
     queries.await_all([
-        queries.to_parquet(speeds, f"{folder}/raw", f"{folder}/c-raw", every=None),
-        queries.to_parquet(hourly, f"{folder}/agg", f"{folder}/c-agg", every=None),
+        queries.start(speeds, queries.parquet(f"{folder}/raw"), f"{folder}/c-raw", every=None),
+        queries.start(hourly, queries.parquet(f"{folder}/agg"), f"{folder}/c-agg", every=None),
     ])
     raw = spark.read.schema(speeds.schema).parquet(f"{folder}/raw")
     stored = spark.read.schema(hourly.schema).parquet(f"{folder}/agg")
@@ -338,10 +399,44 @@ def k09(spark, d):
     ).select(raw.agg(F.count(F.lit(1))).scalar().alias("raw_rows"), "window_rows", "windowed_events")
 
 
-@query("j04_enriched_events_stream", sql_from("lagged", _SNAPSHOT_SQL, "gps"))
+@query("j04_enriched_events_stream", sql_from("lagged", _snapshot_sql(), "gps"))
 def j04_stream(spark, d):
     """The stream joined with the stored snapshot."""
     path = scratch_dir(spark, "snapshot")
     enrich.history_snapshot(views.labelled(spark, d)).write.parquet(path)
     enriched = enrich.enrich_events(gps_stream(spark, d), spark.read.parquet(path))
     return _run_to_parquet(spark, enriched, "enriched")
+
+
+_LOG_SQL = """
+SELECT l_orderkey % 500 AS k, 1 + max(l_linenumber) AS newest, {value} AS v
+FROM lineitem GROUP BY l_orderkey % 500"""
+
+
+def _changes(spark, d, value):
+    line = fixtures.table(spark, d, "lineitem")
+    key = (F.col("l_orderkey") % 500).alias("k")
+    return line.groupBy(key).agg((1 + F.max("l_linenumber")).alias("newest"), value.alias("v"))
+
+
+@query("r09_equal_times", _LOG_SQL.format(value="min(l_suppkey)"))
+def r09_equal(spark, d):
+    """Two batches with the same time: the later one wins, even with the smaller value."""
+    path = scratch_dir(spark, "log")
+    handle = queries.changelog_handler(path, "k", "newest")
+    handle(_changes(spark, d, F.max("l_suppkey")), 0)
+    handle(_changes(spark, d, F.min("l_suppkey")), 1)
+    return queries.read_state(spark, path, "k", "newest")
+
+
+@query("r09_restarted_stream", """
+SELECT l_orderkey % 500 AS k, 1 + max(l_linenumber) AS newest,
+  CASE WHEN l_orderkey % 500 < 250 THEN min(l_suppkey) ELSE max(l_suppkey) END AS v
+FROM lineitem GROUP BY l_orderkey % 500""")
+def r09_restarted(spark, d):
+    """A restart with a new checkpoint counts its batches from 0 again and erases nothing."""
+    path = scratch_dir(spark, "log")
+    queries.changelog_handler(path, "k", "newest")(_changes(spark, d, F.max("l_suppkey")), 0)
+    second = _changes(spark, d, F.min("l_suppkey")).filter("k < 250")
+    queries.changelog_handler(path, "k", "newest")(second, 0)
+    return queries.read_state(spark, path, "k", "newest")

@@ -18,10 +18,12 @@ _CELL = ["cell_lat", "cell_lon"]
 
 
 def history_snapshot(cells: DataFrame) -> DataFrame:
-    """One row per (cell, hour of day): historical means and the cell's newest two hours.
+    """One row per cell and hour of the day: historical means and the cell's newest two hours.
 
-    From labelled cell hours. The size is bounded by cells x 24; write it as a table and
-    read it back, so the stream joins a static table whose file size Spark knows.
+    From labelled cell hours. Every cell has all 24 hours, with null means where the hour was
+    never seen, so an event at a new hour still finds the lags of its cell. The size is bounded
+    by cells x 24; write it as a table and read it back, so the stream joins a static table
+    whose file size Spark knows.
     """
     history = cells.groupBy(*_CELL, "hour").agg(
         F.avg("trip_count").alias("historical_avg_trips"),
@@ -39,14 +41,19 @@ def history_snapshot(cells: DataFrame) -> DataFrame:
             "hour_bucket",
         ).alias("n")
     )
-    return history.join(newest.select(*_CELL, "n.*"), _CELL)
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
+    return newest.select(*_CELL, hours, "n.*").join(history, [*_CELL, "hour"], "left")
 
 
 def enrich_events(events: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Events with all model inputs; cells without history get stand-in values.
+    """Events with all model inputs.
+
+    Lags and hourly means are defaulted each on its own: a cell without any history gets all
+    stand-ins, a known cell at an hour it was never seen in keeps its lags.
 
     The join carries no broadcast hint. Spark broadcasts the snapshot while its known size
-    is under the session's threshold and shuffles by cell and hour beyond it.
+    is under the session's threshold and shuffles by cell and hour beyond it. A stream joined
+    this way reads the snapshot once; ``refreshed`` reads it again for each batch.
     """
     joined = events.join(snapshot, [*_CELL, "hour"], "left")
     fill = lambda name, value: F.coalesce(F.col(name), F.lit(value)).alias(name)
@@ -67,3 +74,12 @@ def enrich_events(events: DataFrame, snapshot: DataFrame) -> DataFrame:
         "event_id", "event_ts", "cell_id", "speed",
         *[inputs[name] for name in profiles.FEATURE_COLUMNS],
     )
+
+
+def refreshed(path: str, score=lambda enriched: enriched):
+    """Function for batches that enriches with the snapshot stored at ``path`` by then."""
+
+    def run(batch: DataFrame) -> DataFrame:
+        return score(enrich_events(batch, batch.sparkSession.read.parquet(path)))
+
+    return run

@@ -121,5 +121,3 @@ def with_rule_prediction(events: DataFrame, speed: str = "speed") -> DataFrame:
         "prediction", labels.level_code("congestion_level")
     )
 
-
-SCHEMAS = {"gps": GPS_EVENT, "trip": TRIP_EVENT}

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tripgrid.operators.state import latest_per_key
-from tripgrid.streaming.events import to_messages
 
 # ---- sources ----------------------------------------------------------------------------
 
@@ -45,55 +46,63 @@ def file_source(
 
 
 @dataclass(frozen=True)
-class Trigger:
-    """Micro-batch interval, or one run over what is available when ``every`` is None."""
+class Sink:
+    """What a stream writes to: a format with its options, and the folders it is split into."""
 
-    every: str | None = None
+    fmt: str
+    options: dict[str, object] = field(default_factory=dict)
+    partition_by: tuple[str, ...] = ()
 
-    def on(self, writer: DataStreamWriter) -> DataStreamWriter:
-        if self.every is None:
-            return writer.trigger(availableNow=True)
-        return writer.trigger(processingTime=self.every)
 
+def console(rows: int = 10) -> Sink:
+    return Sink("console", {"truncate": False, "numRows": rows})
 
-def to_console(df: DataFrame, every: str | None = "10 seconds", rows: int = 10, mode="update"):
-    writer = df.writeStream.outputMode(mode).format("console")
-    return Trigger(every).on(writer.option("truncate", False).option("numRows", rows)).start()
 
+def parquet(path: str, partition_by: tuple[str, ...] = ()) -> Sink:
+    """Files cannot be updated, so aggregates reach them once their watermark has passed."""
+    return Sink("parquet", {"path": path}, partition_by)
 
-def to_parquet(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    every: str | None = "30 seconds",
-    partition_by: tuple[str, ...] = (),
-) -> StreamingQuery:
-    """Append-only Parquet sink.
 
-    Aggregates reach it once their watermark has passed, as files cannot be updated.
-    """
-    writer = df.writeStream.outputMode("append").format("parquet")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    return Trigger(every).on(writer).start()
+def kafka(servers: str, topic: str) -> Sink:
+    """For frames with message keys and values, see ``events.to_messages``."""
+    return Sink("kafka", {"kafka.bootstrap.servers": servers, "topic": topic})
 
 
-def to_kafka(
-    df: DataFrame, servers: str, topic: str, checkpoint: str, mode: str = "append",
-    every: str | None = "5 seconds", key: str = "cell_id",
+def _started(writer: DataStreamWriter, checkpoint: str | None, every: str | None):
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    if every is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=every).start()
+
+
+def start(
+    df: DataFrame, sink: Sink, checkpoint: str | None = None, mode: str = "append",
+    every: str | None = "30 seconds",
 ) -> StreamingQuery:
-    writer = to_messages(df, key).writeStream.outputMode(mode).format("kafka")
-    writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
-    return Trigger(every).on(writer.option("checkpointLocation", checkpoint)).start()
+    """Start one query; ``every`` is the micro-batch interval, None runs over what is there.
+
+    A split sink gets the rows of a folder in one task per batch, so a batch writes one file
+    per folder and not one per task and folder.
+    """
+    if sink.partition_by:
+        df = df.repartition(*sink.partition_by)
+    writer = df.writeStream.outputMode(mode).format(sink.fmt).options(**sink.options)
+    if sink.partition_by:
+        writer = writer.partitionBy(*sink.partition_by)
+    return _started(writer, checkpoint, every)
 
 
 def to_batches(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
     mode: str = "append", every: str | None = "10 seconds",
 ) -> StreamingQuery:
-    writer = df.writeStream.outputMode(mode).foreachBatch(handle)
-    return Trigger(every).on(writer.option("checkpointLocation", checkpoint)).start()
+    return _started(df.writeStream.outputMode(mode).foreachBatch(handle), checkpoint, every)
+
+
+def _run_name() -> str:
+    """Names of runs sort by the time they began."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def scoring_handler(
@@ -101,12 +110,14 @@ def scoring_handler(
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler that scores a non-empty batch and writes it below ``path``.
 
-    Each batch owns the folder of its number, so a replay overwrites instead of adding.
+    A batch owns the folder of its run and number: a replay within a run overwrites, and a run
+    that begins again with a new checkpoint touches nothing of the runs before.
     """
+    run = _run_name()
 
     def handle(batch: DataFrame, epoch: int) -> None:
         if not batch.isEmpty():
-            score(batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+            score(batch).write.mode("overwrite").parquet(f"{path}/run={run}/epoch={epoch}")
 
     return handle
 
@@ -117,49 +128,111 @@ def scoring_handler(
 def changelog_handler(path: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
     """Batch handler that writes the newest row per key of each batch below ``path``.
 
-    A batch writes only keys it touched and only its own folder, so a replay is harmless and
-    no batch reads or rewrites the whole state. ``read_state`` merges the folders.
+    A batch writes only keys it touched and only the folder of its run and number, so a replay
+    is harmless, a restart erases nothing, and no batch reads or rewrites the whole state.
+    ``read_state`` merges the folders.
     """
+    run = _run_name()
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        latest_per_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        target = f"{path}/run={run}/epoch={epoch}"
+        latest_per_key(batch, key, order).write.mode("overwrite").parquet(target)
 
     return handle
 
 
 def read_state(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
-    """Newest row per key over all batches written so far."""
-    return latest_per_key(spark.read.parquet(path).drop("epoch"), key, order)
+    """Newest row per key over all batches; of equal ``order`` the row written last counts."""
+    log = spark.read.parquet(path)
+    return latest_per_key(log, key, order, "run", "epoch").drop("run", "epoch")
 
 
 def compact_state(spark: SparkSession, path: str, target: str, key: str, order: str) -> None:
-    """Write the merged state of ``path`` as the first batch of a new changelog."""
-    read_state(spark, path, key, order).write.mode("overwrite").parquet(f"{target}/epoch=-1")
+    """Write the merged state of ``path`` as the first run of a new changelog.
+
+    The name of that run sorts before all others, so what a stream writes to ``target`` from
+    now on wins ties.
+    """
+    merged = read_state(spark, path, key, order)
+    merged.write.mode("overwrite").parquet(f"{target}/run={0:020d}-merged/epoch=0")
 
 
 # ---- lifecycle --------------------------------------------------------------------------
 
 
 def await_all(queries: list[StreamingQuery], seconds: float | None = None) -> None:
-    """Wait for every query, or for at most ``seconds`` each, then stop what still runs.
+    """Wait until all queries have ended or ``seconds`` have passed, then stop what still runs.
 
-    A failed query raises after the others have been stopped.
+    The first failure, of whichever query, stops the others and is raised.
     """
+    deadline = None if seconds is None else time.monotonic() + seconds
     try:
-        for query in queries:
-            query.awaitTermination(seconds) if seconds else query.awaitTermination()
+        while running := [q for q in queries if q.isActive or q.exception()]:
+            for query in running:
+                query.awaitTermination(0.2)  # raises what the query failed with
+            if deadline is not None and time.monotonic() >= deadline:
+                break
     finally:
         for query in queries:
             query.stop()
 
 
-def progress_summary(query: StreamingQuery) -> dict[str, float]:
-    """Batches and input rows so far, and whether anything was processed."""
-    recent = list(query.recentProgress)
-    rows = sum(p["numInputRows"] for p in recent)
+class ProgressTotals(StreamingQueryListener):
+    """Batches, input rows and best rate of every query since the listener was added.
+
+    A query itself remembers its last hundred updates only.
+    """
+
+    def __init__(self) -> None:
+        self.seen: dict[str, dict[str, float]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.seen.setdefault(str(event.runId), {"batches": 0, "input_rows": 0, "rate": 0.0, "last": -1})
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        total = self.seen.setdefault(
+            str(p.runId), {"batches": 0, "input_rows": 0, "rate": 0.0, "last": -1}
+        )
+        if p.batchId > total["last"]:
+            total["batches"] += 1
+        total["input_rows"] += p.numInputRows
+        total["rate"] = max(total["rate"], p.processedRowsPerSecond or 0.0)
+        total["last"] = max(total["last"], p.batchId)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def watch_progress(spark: SparkSession) -> ProgressTotals:
+    totals = ProgressTotals()
+    spark.streams.addListener(totals)
+    return totals
+
+
+def progress_summary(
+    query: StreamingQuery, totals: ProgressTotals, patience: float = 10.0
+) -> dict[str, float]:
+    """Batches and input rows so far, and whether anything was processed.
+
+    Updates reach the listener a moment late; this waits for the query's last one.
+    """
+    last = query.lastProgress
+    deadline = time.monotonic() + patience
+    found = {"batches": 0, "input_rows": 0, "rate": 0.0, "last": -1}
+    while True:
+        found = totals.seen.get(str(query.runId), found)
+        if last is None or found["last"] >= last["batchId"]:
+            break
+        if time.monotonic() >= deadline:
+            raise TimeoutError("the progress listener missed the query's last batch")
+        time.sleep(0.05)
     return {
-        "batches": len(recent),
-        "input_rows": rows,
-        "rows_per_second": max((p["processedRowsPerSecond"] or 0.0 for p in recent), default=0.0),
-        "active": bool(recent) or rows > 0,
+        "batches": found["batches"],
+        "input_rows": found["input_rows"],
+        "rows_per_second": found["rate"],
+        "active": found["batches"] > 0 or found["input_rows"] > 0,
     }

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from tripgrid.session import build_session
+from tripgrid.session import build_session, release_scratch
 
 TESTDATA = os.environ.get("TRIPGRID_TESTDATA", "/root/testdata")
 SMALL = f"{TESTDATA}/sf0.001"
@@ -29,4 +29,5 @@ def make_session():
 def spark():
     session = make_session()
     yield session
+    release_scratch(session)
     session.stop()

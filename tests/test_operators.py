@@ -59,11 +59,13 @@ def test_stable_mean_does_not_depend_on_partitioning(spark):
     [1.0], [1.0, 2.0], [5.0] * 300 + [1.0, 9.0], [i / 7 for i in range(101)],
     [random.Random(3).gauss(10, 4) for _ in range(500)] + [12.5] * 250,
 ])
-def test_exact_quantiles(spark, values):
+@pytest.mark.parametrize("limits", [{}, {"slots": 4, "largest": 3}])
+def test_exact_quantiles(spark, values, limits):
     df = spark.createDataFrame([("k", v) for v in values] + [("z", 1.5), ("z", None)],
                                "k string, v double")
     found = {r["k"]: r for r in analysis.exact_quantiles(
-        df, "v", {"q0": 0.0, "q25": 0.25, "median": 0.5, "q100": 1.0}, ("k",)).collect()}
+        df, "v", {"q0": 0.0, "q25": 0.25, "median": 0.5, "q100": 1.0}, ("k",), **limits
+    ).collect()}
     assert found["k"]["value_count"] == len(values)
     assert found["k"]["median"] == pytest.approx(statistics.median(values))
     assert (found["k"]["q0"], found["k"]["q100"]) == (min(values), max(values))
@@ -112,15 +114,27 @@ def test_zone_matchers_agree_with_brute_force(spark):
         for i, lat, lon in points
     }
     literal = df.select("id", joins.landmark_name("latitude", "longitude").alias("zone_name"))
-    by_table = joins.match_zones(df, joins.landmark_table(spark), ["id"])
-    for found in (literal, by_table):
+    by_table = joins.match_zones(df, joins.landmark_table(spark))
+    salted = joins.match_zones(df.unionByName(df), joins.landmark_table(spark), broadcast_tiles=0)
+    assert salted.count() == 800
+    for found in (literal, by_table, salted):
         assert {r["id"]: r["zone_name"] for r in found.collect()} == expected
     assert len(set(expected.values())) > 5
 
 
-def test_long_zone_lists_are_refused(spark):
-    with pytest.raises(ValueError, match="match_zones"):
-        joins.landmark_name("a", "b", profiles.LANDMARKS * 30)
+def test_zone_lists_of_any_length(spark):
+    far = [(f"far {i}", 50.0 + i, 0.0, 0.01) for i in range(300)]
+    df = spark.createDataFrame([(profiles.LANDMARKS[0][1], profiles.LANDMARKS[0][2])], "a double, b double")
+    found = df.select(joins.landmark_name("a", "b", [*far, *profiles.LANDMARKS])).first()[0]
+    assert found == profiles.LANDMARKS[0][0]
+
+
+def test_means_equal_plain_ones_and_pass_nan(spark):
+    inf, nan = float("inf"), float("nan")
+    for values in ([1.25, 2.5, 10.0], [nan, 10.0], [inf, 1.0], [inf, -inf], [None, 3.0], [None, None]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        ours, plain = df.agg(stable_avg("v"), F.avg("v")).first()
+        assert str(ours) == str(plain) or ours == pytest.approx(plain, abs=1e-6)
 
 
 def test_events_repeat_for_a_replayed_trip(spark):
@@ -153,15 +167,23 @@ def test_confidence_formula(spark):
     assert found == pytest.approx(max(weights) / sum(weights))
 
 
-def test_split_falls_back_when_a_side_is_short(spark):
+def test_split_by_date_refuses_an_empty_side(spark):
     rows = views.feature_rows(spark, SMALL)
-    january = rows.filter("month = 1")
-    train, test = features.split_or_fallback(january)
-    assert train.count() + test.count() == january.count() and test.count() > 0
-    train, test = features.split_or_fallback(rows)
+    with pytest.raises(ValueError, match="hash_split"):
+        features.temporal_split(rows.filter("month = 1"))
+    _, test = features.temporal_split(rows)
     assert {r[0] for r in test.select("month").distinct().collect()} == {3}
 
 
+def test_hash_split_does_not_depend_on_partitions(spark):
+    rows = views.feature_rows(spark, SMALL).select("cell_id", "hour_bucket")
+    keys = lambda df: {tuple(r) for r in df.collect()}
+    one = [keys(side) for side in features.hash_split(rows.repartition(3))]
+    again = [keys(side) for side in features.hash_split(rows.repartition(11))]
+    assert one == again and not one[0] & one[1] and len(one[0] | one[1]) == rows.count()
+    assert 0.77 < len(one[0]) / rows.count() < 0.83
+
+
 def test_model_metrics_and_reload(spark, tmp_path):
     path = str(tmp_path / "features")
     sinks.write_parquet(views.feature_rows(spark, SMALL), path)
@@ -169,10 +191,11 @@ def test_model_metrics_and_reload(spark, tmp_path):
     fitted = ml.fit("rf", train, numTrees=10, maxDepth=6)
     counts = ml.outcome_counts(fitted.model.transform(test))
     assert sum(r["n"] for r in counts.collect()) == test.count()
-    evaluation = ml.evaluate(fitted, train, test)
+    found = ml.outcomes(fitted, train, test)
+    evaluation = ml.evaluation(fitted, found)
     majority = max(r["count"] for r in test.groupBy("congestion_label").count().collect())
     assert evaluation.first()["test_accuracy"] > 0.95 * majority / test.count()
-    ml.save(fitted, evaluation, counts, str(tmp_path / "model"))
+    ml.save(fitted, found, str(tmp_path / "model"))
     again = ml.outcome_counts(ml.load(str(tmp_path / "model")).transform(test))
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, counts.collect()))
     info = sinks.read_json_record(spark, str(tmp_path / "model" / "info"))

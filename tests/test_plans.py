@@ -13,6 +13,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def details(df) -> str:
+    """The formatted plan, whose filter lists are not cut short."""
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 @pytest.fixture(scope="module")
 def raw(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("raw") / "trips")
@@ -27,6 +32,29 @@ def test_cleaning_is_one_stage_with_pushed_filters(raw):
     assert text.count("RLIKE") == 2  # each time is parsed once
 
 
+def test_pickup_time_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    sinks.write_parquet(fixtures.typed_trips(spark, SMALL), path)
+    typed = spark.read.parquet(path)
+    for df in (
+        clean_trips(typed, since="2016-02-01", until="2016-03-01"),
+        clean_trips(typed).filter("pickup_datetime >= '2016-02-01'"),
+    ):
+        assert "GreaterThanOrEqual(tpep_pickup_datetime,2016-02-01" in details(df)
+
+
+def test_test_trips_read_only_needed_columns(spark):
+    text = plan(catalog.queries()["a07_trips_by_hour"](spark, SMALL))
+    assert "l_tax" not in text and "l_extendedprice" not in text
+
+
+def test_jobs_write_by_month(spark, tmp_path):
+    trips = clean_trips(fixtures.typed_trips(spark, SMALL))
+    sinks.write_parquet(trips, str(tmp_path / "clean"), compact=True, partition_by=("year", "month"))
+    text = plan(spark.read.parquet(str(tmp_path / "clean")).filter("year = 2016 AND month = 2"))
+    assert "PartitionFilters: [isnotnull(year" in text and "(month" in text
+
+
 def test_scan_reads_only_needed_columns(raw):
     text = plan(clean_trips(raw).groupBy("hour").count())
     schema = text[text.index("ReadSchema"):]
@@ -50,7 +78,7 @@ def test_landmark_list_needs_no_join(raw):
 
 def test_zone_table_joins_on_tiles(spark):
     text = plan(joins.match_zones(
-        views.traffic_state(spark, SMALL), joins.landmark_table(spark), ["cell_id"]))
+        views.traffic_state(spark, SMALL), joins.landmark_table(spark)))
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 

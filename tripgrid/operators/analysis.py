@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripgrid import profiles
 from tripgrid.functions import labels, temporal
 from tripgrid.functions.numeric import band, percent_of, stable_avg
+from tripgrid.session import scratch_dir
 
 # Day names by Spark's numbering, 1 = Sunday.
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
@@ -122,14 +123,19 @@ def keyed_totals(df: DataFrame, key: Column, value: str) -> DataFrame:
 
 
 def peak_times(trips: DataFrame) -> DataFrame:
-    """Busiest hour and weekday with their counts, the earliest one on ties."""
-    hours = trips.groupBy("hour").agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("hour").alias("kind"), F.col("hour").alias("position"), "n"
-    )
-    days = trips.groupBy("day_of_week").agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("weekday").alias("kind"), F.col("day_of_week").alias("position"), "n"
+    """Busiest hour and weekday with their counts, the earliest one on ties.
+
+    One pass counts the at most 168 pairs of hour and weekday; both answers come from those.
+    """
+    pairs = trips.groupBy("hour", "day_of_week").agg(F.count(F.lit(1)).alias("n"))
+    kinds = pairs.select(
+        "n",
+        F.explode(F.array(
+            F.struct(F.lit("hour").alias("kind"), F.col("hour").alias("position")),
+            F.struct(F.lit("weekday").alias("kind"), F.col("day_of_week").alias("position")),
+        )).alias("k"),
     )
-    return hours.unionByName(days).groupBy("kind").agg(
+    return kinds.groupBy("k.kind", "k.position").agg(F.sum("n").alias("n")).groupBy("kind").agg(
         F.max_by("position", F.struct("n", -F.col("position"))).alias("peak"),
         F.max("n").alias("trip_count"),
     )
@@ -167,70 +173,85 @@ def width_histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     )
 
 
+SLOTS = 1024
+LARGEST_SLOT = 10_000
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probabilities: dict[str, float],
     keys: tuple[str, ...] = (),
-    width: float = 0.5,
+    slots: int = SLOTS,
+    largest: int = LARGEST_SLOT,
 ) -> DataFrame:
     """Exact interpolated quantiles without gathering a group.
 
     1. Count rows per distinct value: a value repeated in a third of the data is one row
-       per task from here on.
-    2. Add the counts up per interval of ``width`` and accumulate over the intervals, whose
-       number per key is the value range over ``width``.
-    3. Only the intervals holding a wanted rank are joined back to their distinct values,
-       and the cumulative count inside one interval finds the value.
+       per task from here on. The counts are stored, as every following step reads them.
+    2. Cut each key's range, from its own minimum to its maximum, into ``slots`` intervals of
+       equal width and find by their totals which interval holds a wanted rank.
+    3. Where such an interval has more than ``largest`` distinct values, cut it again in the
+       same way. Intervals shrink by the factor ``slots``, so a few rounds reach the resolution
+       of a double whatever the distribution.
+    4. Rank the distinct values inside the intervals left, at most ``largest`` of them each.
 
     The result holds one row per key with the count and one column per probability; rows
-    with a missing key are left out.
+    with a missing key are left out, and values that are no finite numbers count as missing.
     """
     keys = list(keys)
+    number = F.col(value).cast("double")
     counted = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf")))
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_slot", F.floor(F.col("_v") / width))
-        # The join below implies these tests. Stated here, both readers of ``counted`` have
-        # the same plan and the second one reuses the shuffle of the first.
-        .filter(" AND ".join(f"{name} IS NOT NULL" for name in [*keys, "_slot"]))
-    )
-    slots = counted.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_n"))
-    by_key = Window.partitionBy(*keys)
-    running = by_key.orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    slots = slots.select(
-        *keys,
-        "_slot",
-        (F.sum("_n").over(running) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(running).alias("_upto"),
-        F.sum("_n").over(by_key).alias("_total"),
+        .dropna(subset=keys)
     )
+    if keys:
+        counted = counted.withColumn("_key", F.struct(*keys))
+    else:
+        counted = counted.withColumn("_key", F.struct(F.lit(0).alias("all")))
+    spark = df.sparkSession
+    root = scratch_dir(spark, "quantiles")
+    counted.select("_key", "_v", "_n").write.parquet(f"{root}/counted")
+    counted = spark.read.parquet(f"{root}/counted")
     wanted = [
         F.struct(F.lit(f"{name}_{side}").alias("mark"), rank.cast("long").alias("rank"))
         for name, p in probabilities.items()
         for side, rank in (("lo", F.floor(_position(p))), ("hi", F.ceil(_position(p))))
     ]
-    marks = (
-        slots.select("*", F.explode(F.array(*wanted)).alias("_w"))
-        .select(*keys, "_slot", "_before", "_upto", "_total", "_w.mark", "_w.rank")
-        .filter((F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_upto")))
-    )
-    inside = Window.partitionBy(*keys, "mark").orderBy("_v").rowsBetween(
+    # one row per key and mark: the interval known to hold its rank, and the rows before it
+    marks = counted.groupBy("_key").agg(
+        F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_total"),
+        F.count(F.lit(1)).alias("_values"),
+    ).select(
+        "*", F.lit(0).cast("long").alias("_before"), F.explode(F.array(*wanted)).alias("_w")
+    ).select("_key", "_low", "_high", "_total", "_values", "_before", "_w.mark", "_w.rank")
+    step = 0
+    while True:
+        marks.write.parquet(f"{root}/marks-{step}")
+        marks = spark.read.parquet(f"{root}/marks-{step}")
+        wide = (F.col("_values") > largest) & (F.col("_low") < F.col("_high"))
+        if marks.filter(wide).isEmpty():
+            break
+        marks = marks.filter(~wide).unionByName(_narrowed(counted, marks.filter(wide), slots))
+        step += 1
+    inside = Window.partitionBy("_key", "mark").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, 0
     )
+    in_interval = (F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high"))
     found = (
-        counted.join(marks, [*keys, "_slot"])
+        counted.join(marks, "_key").filter(in_interval)
         .withColumn("_last", F.col("_before") + F.sum("_n").over(inside))
         .filter((F.col("rank") < F.col("_last")) & (F.col("rank") >= F.col("_last") - F.col("_n")))
     )
     at = lambda mark: F.max(F.when(F.col("mark") == mark, F.col("_v")))
-    ends = found.groupBy(*keys).agg(
+    ends = found.groupBy("_key").agg(
         F.max("_total").alias("_total"),
         *[at(f"{n}_{side}").alias(f"_{n}_{side}") for n in probabilities for side in ("lo", "hi")],
     )
     return ends.select(
-        *keys, F.col("_total").alias("value_count"),
+        *[F.col(f"_key.{k}").alias(k) for k in keys], F.col("_total").alias("value_count"),
         *[
             (
                 F.col(f"_{n}_lo")
@@ -241,6 +262,32 @@ def exact_quantiles(
     )
 
 
+def _narrowed(counted: DataFrame, marks: DataFrame, slots: int) -> DataFrame:
+    """Marks with the one of ``slots`` equal parts of their interval that holds their rank."""
+    share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    slot = F.least(F.floor(share * slots), F.lit(slots - 1)).alias("_slot")
+    known = ["_key", "mark", "rank", "_total", "_low", "_high", "_before"]
+    parts = (
+        counted.join(marks.drop("_values"), "_key")
+        .filter((F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high")))
+        .groupBy(*known, slot)
+        .agg(
+            F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_values"),
+            F.min("_v").alias("_first"), F.max("_v").alias("_last"),
+        )
+    )
+    running = Window.partitionBy("_key", "mark").orderBy("_slot").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    upto = parts.withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
+    start = F.col("_upto") - F.col("_n")
+    held = upto.filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= start))
+    return held.select(
+        "_key", F.col("_first").alias("_low"), F.col("_last").alias("_high"), "_total", "_values",
+        start.alias("_before"), "mark", "rank",
+    )
+
+
 def _position(p: float) -> Column:
     """Zero-based fractional rank of a probability among ``_total`` sorted values."""
     return (F.col("_total") - 1) * F.lit(float(p))

@@ -110,8 +110,10 @@ def cleaning_rules(df: DataFrame, profile: CleanProfile) -> dict[str, Column]:
 def prepare_trips(df: DataFrame, profile: CleanProfile = profiles.STANDARD) -> DataFrame:
     """Everything the row tests look at, without removing a row."""
     df = require_columns(standardize_columns(df))
+    ready = {n for n, t in df.dtypes if t in ("timestamp", "timestamp_ntz")}
     df = with_speed(with_duration(parse_datetimes(df)), profile.speed_decimals)
-    return compute_once(df, list(_DERIVED))
+    # times that are timestamps already stay as they are, so filters on them reach the scan
+    return compute_once(df, [n for n in _DERIVED if n not in ready])
 
 
 def with_calendar(df: DataFrame, weekday: str = "sunday1") -> DataFrame:
@@ -129,9 +131,30 @@ def with_zone_flag(df: DataFrame, box=profiles.ZONE_BOX) -> DataFrame:
     return df.withColumn("is_manhattan", F.when(inside, True).otherwise(False))
 
 
-def clean_trips(df: DataFrame, profile: CleanProfile = profiles.STANDARD) -> DataFrame:
-    """Clean trips under ``profile``: tested rows with cell, calendar fields and zone flag."""
-    df = prepare_trips(df, profile)
+def in_period(df: DataFrame, since=None, until=None) -> DataFrame:
+    """Trips picked up from ``since`` on and before ``until``; either may be left out."""
+    time = F.col("pickup_datetime")
+    if since is not None:
+        df = df.filter(time >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        df = df.filter(time < F.lit(until).cast("timestamp"))
+    return df
+
+
+def clean_trips(
+    df: DataFrame, profile: CleanProfile = profiles.STANDARD, since=None, until=None
+) -> DataFrame:
+    """Clean trips under ``profile``: tested rows with cell, calendar fields and zone flag.
+
+    ``since`` and ``until`` bound the pickup time. On input with typed times they reach the
+    scan, as does any filter on the result's pickup time.
+    """
+    prepared = in_period(prepare_trips(df, profile), since, until)
+    return from_prepared(prepared, profile)
+
+
+def from_prepared(df: DataFrame, profile: CleanProfile = profiles.STANDARD) -> DataFrame:
+    """Clean trips from what ``prepare_trips`` made."""
     for test in cleaning_rules(df, profile).values():
         df = df.filter(test)
     df = df.na.drop(subset=["pickup_lat", "pickup_lon", "pickup_datetime"])

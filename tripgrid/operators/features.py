@@ -82,19 +82,27 @@ def feature_table(cells: DataFrame, strict_hour: bool = False) -> DataFrame:
 
 
 def temporal_split(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows by date; an empty side is an error, as no model can be judged."""
     split = F.col("dataset_split")
-    return features.filter(split == "train"), features.filter(split == "test")
-
-
-def split_or_fallback(features: DataFrame, min_rows: int = 100, seed: int = 42):
-    """Temporal split, or a seeded 80/20 split when either side has too few rows."""
-    counts = features.agg(
-        F.count_if(F.col("dataset_split") == "train").alias("train"),
-        F.count_if(F.col("dataset_split") == "test").alias("test"),
-    ).first()
-    if min(counts["train"], counts["test"]) >= min_rows:
-        return temporal_split(features)
-    return tuple(features.randomSplit([0.8, 0.2], seed))
+    sides = features.filter(split == "train"), features.filter(split == "test")
+    for name, side in zip(("train", "test"), sides):
+        if side.isEmpty():
+            raise ValueError(f"the {name} side of the split by date is empty: use hash_split")
+    return sides
+
+
+def hash_split(
+    features: DataFrame, share: float = 0.8, keys: tuple[str, ...] = ("cell_id", "hour_bucket")
+) -> tuple[DataFrame, DataFrame]:
+    """Two sides by a hash of the keys, the first with about ``share`` of the rows.
+
+    A row's side depends on its keys alone: sides never overlap or miss a row, whatever the
+    partitions, and a retried task draws the same rows.
+    """
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    first = draw < F.lit(int(share * 2**32))
+    return features.filter(first), features.filter(~first)
 
 
 def variation(std: Column | str, mean: Column | str) -> Column:

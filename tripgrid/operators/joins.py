@@ -9,7 +9,8 @@ from tripgrid import profiles
 from tripgrid.functions.numeric import as_col
 from tripgrid.profiles import Box
 
-LITERAL_ZONES_MAX = 200
+TILES_BROADCAST = 100_000
+SALTS = 16
 
 
 def _distance(lat: Column, lon: Column, zone_lat: Column, zone_lon: Column) -> Column:
@@ -17,15 +18,18 @@ def _distance(lat: Column, lon: Column, zone_lat: Column, zone_lon: Column) -> C
     return F.sqrt(dlat * dlat + dlon * dlon)
 
 
+def _first_hit(zones: Column, lat: Column, lon: Column) -> Column:
+    """Name of the first zone of an ordered array that holds the point."""
+    hits = F.filter(zones, lambda z: _distance(lat, lon, z["lat"], z["lon"]) < z["radius"])
+    return F.try_element_at(hits, F.lit(1)).getField("name")
+
+
 def landmark_name(lat, lon, landmarks=profiles.LANDMARKS) -> Column:
     """First landmark whose circle holds the point, null outside all of them.
 
-    A driver-side list has a known length, so it is a literal array in the projection and
-    needs no join at all. Longer lists belong in a table, see ``match_zones``.
+    A driver-side list is a literal array in the projection and needs no join at all. Every
+    point looks at every landmark, so zones kept in a table go through ``match_zones``.
     """
-    if len(landmarks) > LITERAL_ZONES_MAX:
-        raise ValueError(f"{len(landmarks)} zones: use match_zones with a zone table")
-    lat, lon = as_col(lat), as_col(lon)
     zones = F.array(*[
         F.struct(
             F.lit(name).alias("name"), F.lit(a).alias("lat"), F.lit(o).alias("lon"),
@@ -33,8 +37,7 @@ def landmark_name(lat, lon, landmarks=profiles.LANDMARKS) -> Column:
         )
         for name, a, o, r in landmarks
     ])
-    hits = F.filter(zones, lambda z: _distance(lat, lon, z["lat"], z["lon"]) < z["radius"])
-    return F.try_element_at(hits, F.lit(1)).getField("name")
+    return _first_hit(zones, as_col(lat), as_col(lon))
 
 
 def zone_display_name(lat, lon, rank, landmarks=profiles.LANDMARKS) -> Column:
@@ -47,40 +50,45 @@ def zone_display_name(lat, lon, rank, landmarks=profiles.LANDMARKS) -> Column:
 def match_zones(
     points: DataFrame,
     zones: DataFrame,
-    point_key: list[str],
     lat: str = "latitude",
     lon: str = "longitude",
     tile: float = 0.05,
+    broadcast_tiles: int = TILES_BROADCAST,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """First zone of a table holding each point, by an equi-join on square tiles.
+    """``points`` with ``zone_name``, the first zone of a table holding each; null in none.
 
-    ``zones`` has (zone_order, name, lat, lon, radius). A zone is repeated for each tile its
-    circle may touch, so the join condition is an equality on tiles plus an exact distance
-    test: no pair outside a shared tile is ever formed. No side is broadcast by hint; Spark
-    does so from the table size, and otherwise sorts, where adaptive skew handling splits
-    a crowded tile on the point side. The first match is a partial aggregate per point.
+    ``zones`` has (zone_order, name, lat, lon, radius). Zones are gathered per square tile their
+    circle may touch, in order, and every point meets the one array of its tile; points are
+    neither aggregated nor merged. The tile table is broadcast when counted to have at most
+    ``broadcast_tiles`` rows. Beyond that it is repeated ``salts`` times and points are dealt by
+    tile and salt, so that a crowded tile is spread over that many tasks.
     """
     tile_of = lambda c: F.floor(c / tile)
     spread = lambda low, high: F.sequence(tile_of(low), tile_of(high))
-    tiled = zones.select(
-        F.col("zone_order"), F.col("name"), F.col("radius"),
-        F.col("lat").alias("_zlat"), F.col("lon").alias("_zlon"),
-        F.explode(spread(F.col("lat") - F.col("radius"), F.col("lat") + F.col("radius")))
-        .alias("_tile_lat"),
-    ).select(
-        "*",
-        F.explode(spread(F.col("_zlon") - F.col("radius"), F.col("_zlon") + F.col("radius")))
-        .alias("_tile_lon"),
+    placed = zones.withColumn(
+        "_tile_lat",
+        F.explode(spread(F.col("lat") - F.col("radius"), F.col("lat") + F.col("radius"))),
+    ).withColumn(
+        "_tile_lon",
+        F.explode(spread(F.col("lon") - F.col("radius"), F.col("lon") + F.col("radius"))),
     )
+    tiles = placed.groupBy("_tile_lat", "_tile_lon").agg(
+        F.sort_array(F.collect_list(F.struct("zone_order", "name", "lat", "lon", "radius")))
+        .alias("_zones")
+    )
+    keys = ["_tile_lat", "_tile_lon"]
     located = points.withColumns({
         "_tile_lat": tile_of(F.col(lat)), "_tile_lon": tile_of(F.col(lon))
     })
-    near = _distance(F.col(lat), F.col(lon), F.col("_zlat"), F.col("_zlon")) < F.col("radius")
-    same_tile = (located["_tile_lat"] == tiled["_tile_lat"]) & (
-        located["_tile_lon"] == tiled["_tile_lon"]
-    )
-    matched = located.join(tiled, same_tile & near, "left")
-    return matched.groupBy(*point_key).agg(F.min_by("name", "zone_order").alias("zone_name"))
+    if tiles.limit(broadcast_tiles + 1).count() <= broadcast_tiles:
+        joined = located.join(F.broadcast(tiles), keys, "left")
+    else:
+        salt = F.pmod(F.xxhash64(lat, lon), F.lit(salts)).cast("int")
+        salted = tiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = located.withColumn("_salt", salt).join(salted, [*keys, "_salt"], "left")
+    name = _first_hit(F.col("_zones"), F.col(lat), F.col(lon))
+    return joined.select(*points.columns, name.alias("zone_name"))
 
 
 def landmark_table(spark, landmarks=profiles.LANDMARKS) -> DataFrame:

@@ -176,10 +176,18 @@ def feature_importance(
     return spark.createDataFrame(rows, "rank int, feature string, importance double")
 
 
-def evaluate(fitted: Fit, train: DataFrame, test: DataFrame) -> DataFrame:
+def outcomes(fitted: Fit, train: DataFrame, test: DataFrame) -> dict[str, DataFrame]:
+    """Outcome counts of both sides, each scored once and kept as at most nine rows."""
+    found = {}
+    for side, rows in (("train", train), ("test", test)):
+        counts = outcome_counts(fitted.model.transform(rows))
+        found[side] = counts.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    return found
+
+
+def evaluation(fitted: Fit, counts: dict[str, DataFrame]) -> DataFrame:
     """One row: model, test metrics, train accuracy and training seconds."""
-    on_test = weighted_metrics(outcome_counts(fitted.model.transform(test)))
-    on_train = weighted_metrics(outcome_counts(fitted.model.transform(train)))
+    on_test, on_train = weighted_metrics(counts["test"]), weighted_metrics(counts["train"])
     return on_test.select(
         F.lit(fitted.kind).alias("model"),
         F.lit(TITLES[fitted.kind]).alias("title"),
@@ -192,6 +200,10 @@ def evaluate(fitted: Fit, train: DataFrame, test: DataFrame) -> DataFrame:
     )
 
 
+def evaluate(fitted: Fit, train: DataFrame, test: DataFrame) -> DataFrame:
+    return evaluation(fitted, outcomes(fitted, train, test))
+
+
 def compare(evaluations: list[DataFrame]) -> DataFrame:
     """All evaluations, the model with the highest test F1 marked as best."""
     table = evaluations[0]
@@ -233,11 +245,14 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 # ---- storage ------------------------------------------------------------------------------
 
 
-def save(fitted: Fit, evaluation: DataFrame, counts: DataFrame, path: str) -> None:
+def save(fitted: Fit, found: dict[str, DataFrame], path: str) -> None:
     """Model below ``path/model`` and its metadata record below ``path/info``.
 
+    ``found`` are the outcome counts of both sides, so nothing is scored again.
+
     Only bounded tables reach the driver: one metric row, three class rows, the importances.
     """
+    counts = found["test"]
     spark = counts.sparkSession
     fitted.model.write().overwrite().save(f"{path}/model")
     importance = feature_importance(spark, fitted.model)
@@ -247,7 +262,7 @@ def save(fitted: Fit, evaluation: DataFrame, counts: DataFrame, path: str) -> No
         "title": TITLES[fitted.kind],
         "features": list(profiles.FEATURE_COLUMNS),
         "classes": list(profiles.LABELS.names),
-        "metrics": rows(evaluation)[0],
+        "metrics": rows(evaluation(fitted, found))[0],
         "confusion_matrix": rows(confusion_matrix(counts)),
         "class_report": rows(class_report(counts)),
         "feature_importance": rows(importance) if importance is not None else [],

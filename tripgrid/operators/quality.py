@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,24 @@ def row_funnel(df: DataFrame, profile=profiles.STANDARD) -> DataFrame:
     ])).alias("r")).select("r.*")
 
 
+def observed_funnel(df: DataFrame, profile=profiles.STANDARD) -> tuple[DataFrame, Observation]:
+    """``df`` prepared for cleaning, and an observation of the funnel's counts.
+
+    The counts are complete once any action has read the frame to its end, so a job that writes
+    the clean rows gets its funnel from the same pass.
+    """
+    prepared = prepare_trips(df, profile)
+    kept = _cumulative(cleaning_rules(prepared, profile))
+    counts = {"raw": F.count(F.lit(1)), **{n: F.count_if(t) for n, t in kept.items()}}
+    seen = Observation()
+    return prepared.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
+
+
+def funnel_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    rows = [(i, n, c) for i, (n, c) in enumerate(counts.items())]
+    return spark.createDataFrame(rows, "step int, rule string, rows bigint")
+
+
 def removal_report(df: DataFrame, profile=profiles.COMPACT, source: Column | None = None):
     """Rows each rule removes and the share kept, per source (default: pickup month)."""
     df = prepare_trips(df, profile)
@@ -125,6 +143,15 @@ def file_report(df: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("records"))
 
 
+def with_total(report: DataFrame) -> DataFrame:
+    """A file report with one more row named ``total``."""
+    total = report.agg(
+        F.lit("total").alias("file_name"), F.sum("size_bytes").alias("size_bytes"),
+        F.sum("records").alias("records"),
+    )
+    return report.unionByName(total)
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """The schema of ``df`` as rows (position, column_name, data_type)."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, 1)]

@@ -98,12 +98,13 @@ WHERE trip_distance BETWEEN 0.1::DOUBLE AND 100
 UNION ALL SELECT 'v1', pickup_datetime, trip_distance FROM prepared
 WHERE trip_distance > 0.1::DOUBLE AND trip_distance < 100
 UNION ALL SELECT 'v2', pickup_datetime, trip_distance FROM prepared
-WHERE trip_distance > 0 AND trip_distance < 100"""))
+WHERE trip_distance > 0 AND trip_distance < 100
+UNION ALL SELECT 'doc', pickup_datetime, trip_distance FROM prepared WHERE trip_distance > 0"""))
 def p06(spark, d):
     trips = _prepared(spark, d)
     kept = [
         F.when(p.distance.holds("trip_distance"), F.lit(name))
-        for name, p in profiles.CLEAN_PROFILES.items() if name != "doc"
+        for name, p in profiles.CLEAN_PROFILES.items()
     ]
     return trips.select(
         F.explode(F.array_compact(F.array(*kept))).alias("profile"),
@@ -126,18 +127,17 @@ WHERE speed_mph BETWEEN 1 AND 60
 UNION ALL SELECT 'v1', pickup_datetime, raw_speed FROM prepared
 WHERE raw_speed > 0 AND raw_speed < 80
 UNION ALL SELECT 'v2', pickup_datetime, raw_speed FROM prepared
-WHERE raw_speed > 0 AND raw_speed < 60"""))
+WHERE raw_speed > 0 AND raw_speed < 60
+UNION ALL SELECT 'doc', pickup_datetime, raw_speed FROM prepared"""))
 def p08(spark, d):
+    """The documented profile has no speed rule and keeps every row."""
     raw = F.try_divide("trip_distance", "duration_hours")
     trips = _prepared(spark, d).withColumn("raw_speed", raw)
-    speeds = {"standard": F.col("speed_mph"), "v1": F.col("raw_speed"), "v2": F.col("raw_speed")}
-    kept = [
-        F.when(
-            profiles.CLEAN_PROFILES[name].speed.holds(speed),
-            F.struct(F.lit(name).alias("profile"), speed.alias("speed")),
-        )
-        for name, speed in speeds.items()
-    ]
+    kept = []
+    for name, profile in profiles.CLEAN_PROFILES.items():
+        speed = F.col("speed_mph" if profile.speed_decimals is not None else "raw_speed")
+        held = profile.speed.holds(speed) if profile.speed else F.lit(True)
+        kept.append(F.when(held, F.struct(F.lit(name).alias("profile"), speed.alias("speed"))))
     return trips.select(
         "pickup_datetime", F.explode(F.array_compact(F.array(*kept))).alias("k")
     ).select("k.profile", "pickup_datetime", "k.speed")

@@ -61,15 +61,33 @@ def build_session(
     return spark
 
 
+# local fallbacks of this process, by application
+_LOCAL: dict[str, str] = {}
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """Folder of this application below the cluster's checkpoint folder."""
+    app = spark.sparkContext.applicationId
+    parent = spark.conf.get("spark.checkpoint.dir", None)
+    if not parent:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        parent = _LOCAL.setdefault(app, tempfile.mkdtemp(prefix="tripgrid-"))
+    return f"{parent.rstrip('/')}/{app}"
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """New folder for written intermediates, below the cluster's checkpoint folder.
 
     The parent is ``spark.checkpoint.dir`` as the session names it. Only a local master may
     fall back on a temporary folder of this machine; elsewhere executors could not see it.
+    The folder belongs to the application and lives until ``release_scratch``.
     """
-    parent = spark.conf.get("spark.checkpoint.dir", None)
-    if not parent:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        parent = tempfile.mkdtemp(prefix="tripgrid-")
-    return f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all intermediates of this application; frames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)

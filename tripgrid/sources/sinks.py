@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,6 @@ from tripgrid.operators import quality
 from tripgrid.operators.analysis import hash_sample
 
 ROWS_PER_FILE = 500_000
-FULL_EXPORT_ROWS = 100_000
 
 
 def write_parquet(
@@ -49,29 +50,45 @@ def copy_table(spark: SparkSession, source: str, target: str, fmt: str = "parque
         spark.read.format(fmt).load(source).write.mode("overwrite").format(fmt).save(target)
 
 
-def readable_export(df: DataFrame, folder: str, sample_rows: int = 1000) -> None:
-    """Schema, statistics and a CSV sample of a table, and all of it when it is short.
+def readable_export(
+    df: DataFrame, folder: str, sample_rows: int = 1000, full: bool = True
+) -> None:
+    """Schema, statistics, a CSV sample and, unless ``full`` is off, a CSV copy of a table.
 
+    ``df`` is computed once and kept for the parts; a lost executor's share is computed again.
     The sample is taken from as few partitions as hold it; a limit inside the plan would
-    make every task of a large table send its share. Only bounded parts become one file.
+    make every task of a large table send its share. Only bounded parts become one file, the
+    full copy is written by all tasks.
     """
-    write_csv(quality.schema_table(df).coalesce(1), f"{folder}/schema")
-    write_csv(quality.describe_numeric(df).coalesce(1), f"{folder}/statistics")
-    sample = df.sparkSession.createDataFrame(df.take(sample_rows), df.schema)
-    write_csv(sample.coalesce(1), f"{folder}/sample")
-    if df.count() <= FULL_EXPORT_ROWS:
-        write_csv(df.coalesce(1), f"{folder}/full")
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if full:
+            write_csv(kept, f"{folder}/full")
+        write_csv(quality.schema_table(df).coalesce(1), f"{folder}/schema")
+        write_csv(quality.describe_numeric(kept), f"{folder}/statistics")
+        sample = df.sparkSession.createDataFrame(kept.take(sample_rows), df.schema)
+        write_csv(sample.coalesce(1), f"{folder}/sample")
+    finally:
+        kept.unpersist()
 
 
 def write_derived_tables(
-    cells: DataFrame, statistics: DataFrame, training: DataFrame, folder: str,
+    cells: DataFrame,
+    statistics: Callable[[DataFrame], DataFrame],
+    training: Callable[[DataFrame], DataFrame],
+    folder: str,
     sample_rows: int = 10_000,
 ) -> None:
-    """The aggregated, per-cell and training tables, and a repeatable CSV sample."""
+    """The aggregated, per-cell and training tables, and a repeatable CSV sample.
+
+    ``cells`` is computed once; the other tables are derived from what was written.
+    """
+    spark = cells.sparkSession
     write_parquet(cells, f"{folder}/aggregated")
-    write_parquet(statistics, f"{folder}/cell_statistics")
-    write_parquet(training, f"{folder}/training")
-    stored = training.sparkSession.read.parquet(f"{folder}/training")
+    written = spark.read.schema(cells.schema).parquet(f"{folder}/aggregated")
+    write_parquet(statistics(written), f"{folder}/cell_statistics")
+    write_parquet(training(written), f"{folder}/training")
+    stored = spark.read.parquet(f"{folder}/training")
     sample = hash_sample(stored, sample_rows, ["cell_id", "hour_bucket"])
     write_csv(sample, f"{folder}/training_sample")
 

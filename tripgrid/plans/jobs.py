@@ -38,7 +38,8 @@ def run_cleaning(
     raw = files.read_raw_csv(spark, source, name_filter)
     prepared, seen = quality.observed_funnel(raw, profile)
     clean = from_prepared(prepared, profile)
-    sinks.write_parquet(clean, target, compact=True, partition_by=_periods(clean))
+    # raw files hold a month each, so a task writes few folders and nothing needs to move
+    sinks.write_parquet(clean, target, partition_by=_periods(clean))
     return quality.funnel_table(spark, seen.get)
 
 

@@ -6,12 +6,15 @@ sets are one point, found by a digest. Points are spread over regions and region
 1. The first pivots are single shingles. A set belongs to the pivot that comes first in a fixed
    order of its shingles (rarest first, by counts over the whole corpus in a table of fixed size).
    A set within ``e`` lacks at most ``|x| - ceil(t |x|)`` of x's shingles, so its own first pivots
-   hold one of x's first ``|x| - ceil(t |x|) + 1``: into those regions x is replicated. Regions
-   with one point vanish by counting alone; they are nearly all. (Between two unrelated texts the
+   hold one of x's first ``|x| - ceil(t |x|) + 1``: into those regions x is replicated. With a
+   window longer by c - 1, linked sets share c pivots; sets that share fewer with any others
+   drop out (what a common passage brings together, say), and regions with one point vanish,
+   all by counting. (Between two unrelated texts the
    distance is 1 and to every document pivot as well, so windows around document pivots alone
    would replicate everything everywhere; single shingles are the pivots that tell such texts
    apart.)
-2. Regions with the same least point are one region with that point as its document pivot. While
+2. Regions with the same least point are one region with that point as its document pivot, and
+   regions that share points are merged where the whole fits a task. While
    a region is too large for a task, all its points measure their distance to the pivot. Points
    within ``e`` link to it and are one component. The others fall into rings of width ``e``; by
    the triangle inequality links join points of one ring or of neighbours, so each ring with a
@@ -31,9 +34,10 @@ are handed through if named.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -47,10 +51,11 @@ SHINGLE = 5
 COUNT_BITS = 20
 BLOCK_BITS = 14
 TEXTS_AT_ONCE = 200
-LEAF_SHINGLES = 1_000_000
-LEAF_POINTS = 4_000
+LEAF_SHINGLES = 2_000_000
+LEAF_POINTS = 5_000
 LEVELS = 3
 BROADCAST_ROWS = 1_000_000
+MARGIN = 10  # per cent of a set by which its window is longer than one common pivot needs
 
 
 def _raw_shingles(words: Words, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -115,6 +120,11 @@ def shingle_ranks(docs: DataFrame) -> np.ndarray:
     return np.where(frequent, 1 + np.minimum(250, 4 * np.log2(np.maximum(over, 1))), 0).astype(np.uint8)
 
 
+def _common(n: Column | int) -> Column | int:
+    """Pivots that two linked sets share within their windows, if the smaller one has n shingles."""
+    return max(1, n * MARGIN // 100) if isinstance(n, int) else F.greatest(F.lit(1), F.floor(n * MARGIN / 100))
+
+
 def _points(docs: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
     """Every row's set: size, digest, its first half as a number, and the first pivots."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
@@ -134,7 +144,7 @@ def _points(docs: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
                 for s in shingle_sets(words, part.column("text").to_pylist()):
                     digest = xxhash.xxh3_128_digest(s.tobytes())
                     order = np.argsort(ranks[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)], kind="stable")
-                    reach = len(s) - -(-len(s) * percent // 100) + 1 if len(s) else 0
+                    reach = len(s) - -(-len(s) * percent // 100) + _common(len(s)) if len(s) else 0
                     size.append(len(s))
                     ids.append(digest)
                     halves.append(int.from_bytes(digest[:8], "big", signed=True))
@@ -150,30 +160,31 @@ def _points(docs: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(set_id, half, n, shingles) of the texts, one row per set."""
+def _rows(placed: DataFrame, standing: DataFrame, keyed: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(region, set_id, n, text) for ``placed`` (region, half).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in batches:
-            for part in _slices(batch):
-                sets = shingle_sets(words, part.column("text").to_pylist())
-                ids = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "set_id": pa.array(ids, pa.binary()),
-                        "half": pa.array([int.from_bytes(i[:8], "big", signed=True) for i in ids], pa.int64()),
-                        "n": pa.array([len(s) for s in sets], pa.int64()),
-                        "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
-                    }
-                )
-
-    return docs.select("text").mapInArrow(run, "set_id binary, half long, n long, shingles binary").dropDuplicates(["set_id"])
-
-
-def overlap(a: bytes, b: bytes) -> tuple[int, int]:
-    """Sizes of intersection and union of two packed sets."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    Texts travel and not sets: they take about half the room, and sets are quickly made again.
+    ``standing`` names the document that stands for each set and how many rows are that document.
+    """
+    regions = placed.groupBy("half").agg(F.collect_set("region").alias("regions"))
+    wanted = stored(
+        standing.join(regions, "half").select(
+            F.col("k.k1").alias("s1"), F.col("k.k2").alias("s2"), (F.col("k.rows") > 1).alias("again"), "set_id", "n", "regions"
+        ),
+        "wanted",
+    )
+    same = (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2"))
+    columns = ["set_id", "n", "regions", "text"]
+    texts = join_small(keyed, wanted.filter("NOT again"), same, "inner", broadcast_rows).select(*columns)
+    again = wanted.filter("again")
+    if not again.isEmpty():  # rows alike in every column
+        once = join_small(keyed, again, same, "inner", broadcast_rows).dropDuplicates(["k1", "k2"])
+        texts = texts.unionByName(once.select(*columns))
+    return texts.select(F.explode("regions").alias("region"), "set_id", "n", "text")
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
+    """Sizes of intersection and union of two sorted sets."""
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both, len(x) + len(y) - both
 
@@ -241,9 +252,12 @@ def join_leaf(ids: list[bytes], sets: list[np.ndarray], balls: list[bytes | None
 def _leaves(rows: DataFrame, percent: int) -> DataFrame:
     """Links of all regions (region, left, right), each joined in one task: (a, b, similarity, root)."""
 
+    words = Words()
+
     def join(group: list[tuple]) -> Iterator[pa.RecordBatch]:
         ids = [g[0] for g in group]
-        links = join_leaf(ids, [np.frombuffer(g[1], np.uint64) for g in group], [g[2] for g in group], percent)
+        sets = [x for k in range(0, len(group), TEXTS_AT_ONCE) for x in shingle_sets(words, [g[1] for g in group[k : k + TEXTS_AT_ONCE]])]
+        links = join_leaf(ids, sets, [g[2] for g in group], percent)
         if links:
             parent = list(range(len(ids)))
 
@@ -267,19 +281,19 @@ def _leaves(rows: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("region", "left", "right", "set_id", "shingles", "ball")]
-            for region, left, right, set_id, shingles, ball in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("region", "left", "right", "set_id", "text", "ball")]
+            for region, left, right, set_id, text, ball in zip(*columns, strict=True):
                 if (region, left, right) != key:
                     if len(group) > 1:
                         yield from join(group)
                     key, group = (region, left, right), []
-                group.append((set_id, shingles, ball))
+                group.append((set_id, text, ball))
         if len(group) > 1:
             yield from join(group)
 
     keys = ["region", "left", "right"]
     placed = rows.repartition(*keys).sortWithinPartitions(*keys, "set_id")
-    return placed.select(*keys, "set_id", "shingles", "ball").mapInArrow(
+    return placed.select(*keys, "set_id", "text", "ball").mapInArrow(
         run, "a binary, b binary, similarity double, root binary"
     )
 
@@ -287,20 +301,29 @@ def _leaves(rows: DataFrame, percent: int) -> DataFrame:
 def _measure(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """One level of pivots for regions too large: links to pivots, and the rows of the rings."""
     e = (100 - percent) / 100
+    rows = stored(rows, "large-regions")
     # the pivot is the least point that is not yet in a ball, or the least of all
     chosen = rows.groupBy("region").agg(
         F.coalesce(F.min(F.when(F.col("ball").isNull(), F.col("set_id"))), F.min("set_id")).alias("pivot")
     )
-    pivots = chosen.join(rows.select("region", F.col("set_id").alias("pivot"), F.col("shingles").alias("theirs")), ["region", "pivot"])
+    pivots = stored(
+        rows.select("region", F.col("set_id").alias("pivot"), F.col("text").alias("theirs")).join(
+            stored(chosen, "chosen"), ["region", "pivot"]
+        ),
+        "region-pivots",
+    )
     both = rows.join(pivots, "region")
 
     @F.pandas_udf("same long, all long")
-    def compare(a, b):
-        import pandas as pd
-
-        return pd.DataFrame([overlap(x, y) for x, y in zip(a, b, strict=True)], columns=["same", "all"])
-
-    seen = stored(both.withColumn("o", compare("shingles", "theirs")).drop("theirs"), "measured")
+    def compare(ours: pd.Series, theirs: pd.Series) -> pd.DataFrame:
+        words, pivot, held, out = Words(), None, None, []
+        for a, b in zip(ours, theirs, strict=True):
+            if b != pivot:
+                pivot, held = b, shingle_sets(words, [b])[0]
+            out.append(overlap(shingle_sets(words, [a])[0], held))
+        return pd.DataFrame(out, columns=["same", "all"])
+
+    seen = stored(both.withColumn("o", compare("text", "theirs")).drop("theirs"), "measured")
     near = 100 * F.col("o.same") >= percent * F.col("o.all")
     links = seen.filter(near & (F.col("set_id") != F.col("pivot"))).select(
         F.col("set_id").alias("a"), F.col("pivot").alias("b"),
@@ -310,29 +333,55 @@ def _measure(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     ring = F.floor(far).cast("int")
     # a point lies in its ring's region and in the window of the next ring (and of the one after, on the edge)
     placed = seen.select(
-        "region", "set_id", "n", "shingles", F.when(near, F.col("pivot")).otherwise(F.col("ball")).alias("ball"),
+        "region", "set_id", "n", "text", F.when(near, F.col("pivot")).otherwise(F.col("ball")).alias("ball"),
         (~near & (ring >= 1)).alias("home"),
         F.explode(F.sequence(F.greatest(F.lit(1), ring), F.floor(far + 1 + 1e-6).cast("int"))).alias("ring"),
     )
-    homes = placed.filter(F.col("home")).select("region", "ring").distinct()
+    homes = stored(placed.filter(F.col("home")).select("region", "ring").distinct(), "homes")
     inner = placed.join(homes, ["region", "ring"], "left_semi")
-    return links, inner.select(F.xxhash64("region", "ring").alias("region"), "set_id", "n", "shingles", "ball")
-
-
-def _region_links(rows: DataFrame, percent: int, leaf_shingles: int, leaf_points: int, levels: int) -> DataFrame:
-    """Links of all regions; ``rows`` are (region, set_id, n, shingles), a point in several regions."""
-    rows = stored(rows.withColumn("ball", F.lit(None).cast("binary")), "regions")
-    parts = []
-    for level in range(levels + 1):
-        blocks = F.greatest(F.ceil(F.col("total") / leaf_shingles), F.ceil(F.col("points") / leaf_points))
-        sizes = rows.groupBy("region").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("points"))
-        sizes = stored(sizes.withColumn("blocks", blocks.cast("int")), "region-sizes")
-        small = rows.join(sizes.filter("blocks = 1 AND points > 1").select("region"), "region", "left_semi")
-        zero = F.lit(0)
-        parts.append(_leaves(small.withColumns({"left": zero, "right": zero}), percent))
-        hot = sizes.filter("blocks > 1").select("region", "blocks")
-        if hot.isEmpty():
-            break
+    return links, inner.select(F.xxhash64("region", "ring").alias("region"), "set_id", "n", "text", "ball")
+
+
+def _sizes(members: DataFrame, leaf_shingles: int, leaf_points: int) -> DataFrame:
+    """(region, points, blocks): how many tasks' worth of points and shingles a region holds."""
+    blocks = F.greatest(F.ceil(F.col("total") / leaf_shingles), F.ceil(F.col("points") / leaf_points))
+    sizes = members.groupBy("region").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("points"))
+    return stored(sizes.select("region", "points", blocks.cast("int").alias("blocks")), "region-sizes")
+
+
+def _merged(members: DataFrame, leaf_shingles: int, leaf_points: int) -> DataFrame:
+    """Regions that share points made one, wherever the whole fits a task.
+
+    A point of many small regions is then in one. Where the whole does not fit, regions stay.
+    """
+    labels = connected_components(members.select(F.col("half").alias("a"), F.col("region").alias("b")))
+    whole = labels.select(F.col("node").alias("half"), F.col("label").alias("whole"))
+    placed = stored(members.join(whole, "half"), "placed")
+    points = placed.select(F.col("whole").alias("region"), "half", "n").distinct()
+    fits = _sizes(points, leaf_shingles, leaf_points).filter("blocks = 1").select(F.col("region").alias("whole"))
+    return stored(
+        points.join(fits.withColumnRenamed("whole", "region"), "region", "left_semi").unionByName(
+            placed.join(fits, "whole", "left_anti").select("region", "half", "n")
+        ),
+        "merged",
+    )
+
+
+def _region_links(
+    members: DataFrame, rows_of: Callable[[DataFrame], DataFrame], percent: int,
+    leaf_shingles: int, leaf_points: int, levels: int,
+) -> DataFrame:
+    """Links of all regions; ``members`` are (region, half, n), a point in several regions."""
+    zero = F.lit(0)
+    one_task, none = {"left": zero, "right": zero}, F.lit(None).cast("binary")
+    sizes = _sizes(members, leaf_shingles, leaf_points)
+    fits = members.join(sizes.filter("blocks = 1 AND points > 1"), "region", "left_semi")
+    parts = [_leaves(rows_of(fits.select("region", "half")).withColumns({**one_task, "ball": none}), percent)]
+    level, rows = 0, None
+    while not (hot := sizes.filter("blocks > 1").select("region", "blocks")).isEmpty():
+        if rows is None:
+            large = members.select("region", "half").join(hot, "region", "left_semi")
+            rows = rows_of(large).withColumn("ball", none)
         large = rows.join(hot, "region")
         if level == levels:
             block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
@@ -342,9 +391,12 @@ def _region_links(rows: DataFrame, percent: int, leaf_shingles: int, leaf_points
                 _leaves(pairs.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")}), percent)
             )
             break
-        links, inner = _measure(large.drop("blocks"), percent)
+        links, inner = _measure(large.select("region", "set_id", "n", "text", "ball"), percent)
         parts.append(links)
-        rows = stored(inner, "rings")
+        rows, level = stored(inner, "rings"), level + 1
+        sizes = _sizes(rows, leaf_shingles, leaf_points)
+        small = rows.join(sizes.filter("blocks = 1 AND points > 1"), "region", "left_semi")
+        parts.append(_leaves(small.withColumns(one_task), percent))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -374,23 +426,38 @@ def near_duplicates(
     keyed = whole.withColumns(_keys(F.col("row")))
     points = stored(_points(keyed, shingle_ranks(whole), percent), "points")
 
-    held = points.filter("n_shingles > 0").select("half", F.explode("pivots").alias("pivot"))
-    regions = held.groupBy("pivot").agg(F.min("half").alias("region"), F.max("half").alias("other"))
-    shared = stored(regions.filter("region != other").select(F.col("pivot").alias("p"), "region"), "pivots")
-    members = stored(
-        join_small(held, shared, F.col("pivot") == F.col("p"), "inner", broadcast_rows).select("region", "half").distinct(),
-        "members",
-    )
-    # one document stands for every set that lies in a region
-    found = points.join(members.select("half").distinct(), "half", "left_semi")
-    standing = stored(
-        found.groupBy("set_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2"), "standing"
+    # one row of every set takes part; rows alike in every column may remain, and only cost
+    reps = stored(
+        points.filter("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.*"), "reps"
     ).withColumnsRenamed({"k1": "s1", "k2": "s2"})
     same = (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2"))
-    sets = stored(_sets(join_small(keyed, standing, same, "left_semi", broadcast_rows)), "sets")
-    links = stored(
-        _region_links(members.join(sets, "half").drop("half"), percent, leaf_shingles, leaf_points, levels), "links"
+    apart = join_small(points, reps, same, "left_semi", broadcast_rows)
+    held = apart.select("half", F.explode("pivots").alias("pivot"))
+    shared = stored(held.groupBy("pivot").count().filter("count > 1").select("pivot"), "pivots")
+    met = stored(held.join(shared, "pivot", "left_semi"), "met")
+    # a set with a partner shares this many pivots; those that share fewer (a common passage, say) have none
+    sizes = apart.select("half", F.col("n_shingles").alias("n"))
+    enough = _common(F.ceil(F.col("n") * percent / 100))
+    near = met.groupBy("half").count().join(sizes, "half").filter(F.col("count") >= enough)
+    near = stored(near.select(F.col("half").alias("near")).distinct(), "near")
+    met = join_small(met, near, F.col("half") == F.col("near"), "left_semi", broadcast_rows)
+    regions = met.groupBy(F.col("pivot").alias("p")).agg(F.min("half").alias("region"), F.max("half").alias("other"))
+    regions = stored(regions.filter("region != other").select("p", "region"), "regions")
+    members = join_small(met, regions, F.col("pivot") == F.col("p"), "inner", broadcast_rows)
+    members = stored(members.select("region", "half").distinct(), "members")
+    # one document stands for every set that lies in a region
+    found = points.join(stored(members.select("half").distinct(), "halves"), "half", "left_semi")
+    alike = found.groupBy("set_id", "half", F.col("n_shingles").alias("n"), "k1", "k2").agg(F.count(F.lit(1)).alias("rows"))
+    standing = stored(
+        alike.groupBy("set_id", "half", "n").agg(F.min(F.struct("k1", "k2", "rows")).alias("k")), "standing"
     )
+    weighed = members.join(standing.groupBy("half").agg(F.sum("n").alias("n")), "half")
+    merged = _merged(weighed, leaf_shingles, leaf_points)
+
+    def rows_of(placed: DataFrame) -> DataFrame:
+        return _rows(placed, standing, keyed, broadcast_rows)
+
+    links = stored(_region_links(merged, rows_of, percent, leaf_shingles, leaf_points, levels), "links")
     stars = links.select("a", F.col("root").alias("b")).unionByName(links.select(F.col("b").alias("a"), F.col("root").alias("b")))
     labels = connected_components(stars)
     named = join_small(points.drop("pivots", "half"), labels, F.col("set_id") == F.col("node"), "left", broadcast_rows)
@@ -405,6 +472,8 @@ def components(docs: DataFrame, **options) -> DataFrame:
     members, _ = near_duplicates(docs, ["doc_id"], **options)
     members = members.select("row.doc_id", "n_shingles", "label")
     least = members.filter("n_shingles > 0").groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("least"))
+    # written first, so that adaptive execution can split a component that holds a large share of all
+    members, least = stored(members, "memberships"), stored(least, "components")
     joined = members.join(least, F.col("label") == F.col("of"), "left")
     own = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", own.alias("component_id"))
@@ -419,7 +488,7 @@ def drop_near_duplicates(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS,
     hashed = docs.withColumn(whole, F.xxhash64(*docs.columns))
     members, _ = near_duplicates(hashed, ["doc_id", whole], broadcast_rows=broadcast_rows, **options)
     linked = stored(members.filter("n_shingles > 0").select("row.doc_id", "k1", "k2", "label"), "members")
-    first = linked.groupBy("label").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first"))
+    first = stored(linked.groupBy("label").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("first")), "first")
     judged = linked.join(first, "label")
     stays = (F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2"))
     mark = {"k1": "j1", "k2": "j2"}

@@ -7,6 +7,7 @@ from tripgrid.operators import aggregates, features, joins
 from tripgrid.operators.cleaning import clean_trips
 from tripgrid.plans import catalog, views
 from tripgrid.sources import fixtures, sinks
+from tripgrid.streaming import windows
 
 
 def plan(df) -> str:
@@ -48,6 +49,11 @@ def test_test_trips_read_only_needed_columns(spark):
     assert "l_tax" not in text and "l_extendedprice" not in text
 
 
+def test_live_state_never_sorts_events(spark):
+    text = plan(windows.live_state(views.gps(spark, SMALL)))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
 def test_jobs_write_by_month(spark, tmp_path):
     trips = clean_trips(fixtures.typed_trips(spark, SMALL))
     sinks.write_parquet(trips, str(tmp_path / "clean"), compact=True, partition_by=("year", "month"))

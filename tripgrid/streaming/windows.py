@@ -7,6 +7,8 @@ aggregates, never the events themselves.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,10 +67,17 @@ def congestion_alerts(windows: DataFrame) -> DataFrame:
 
 
 def live_state(events: DataFrame, size: str = "5 seconds", lateness: str = LATENESS) -> DataFrame:
-    """State records per short window and cell; the earliest event gives the position."""
-    first = F.min(F.struct(
-        "event_ts", "latitude", "longitude", F.col("is_manhattan").alias("zone")
-    ))
+    """State records per short window and cell; the earliest event gives the position.
+
+    Equal times go to the smallest latitude, then longitude. Time and position (to 1e-7 degrees)
+    are packed into one number, so the raw events are aggregated by hash and never sorted.
+    """
+    degrees = lambda name, shift: F.floor((F.col(name) + shift) * 1e7)
+    place = degrees("latitude", 90.0) * 4_000_000_000 + degrees("longitude", 180.0)
+    number = lambda c: c.cast("decimal(38,0)")
+    moment = number(F.unix_micros("event_ts")) * F.lit(Decimal(10**19))
+    order = number(moment + number(F.coalesce(place, F.lit(-1))))
+    earliest = lambda name: F.min_by(name, order)
     grouped = (
         events.withWatermark("event_ts", lateness)
         .groupBy(F.window("event_ts", size).alias("w"), "cell_id")
@@ -76,20 +85,22 @@ def live_state(events: DataFrame, size: str = "5 seconds", lateness: str = LATEN
             stable_avg("speed").alias("speed"),
             F.count(F.lit(1)).alias("vehicle_count"),
             F.avg("hour").alias("mean_hour"),
-            first.alias("first"),
+            earliest("latitude").alias("first_lat"),
+            earliest("longitude").alias("first_lon"),
+            earliest("is_manhattan").alias("first_zone"),
         )
     )
     return grouped.select(
         "cell_id",
-        F.round("first.latitude", 6).alias("latitude"),
-        F.round("first.longitude", 6).alias("longitude"),
+        F.round("first_lat", 6).alias("latitude"),
+        F.round("first_lon", 6).alias("longitude"),
         F.round(labels.piecewise_index("speed", profiles.INDEX_CLAMP_LIVE), 3)
         .alias("congestion_index"),
         labels.piecewise_level("speed").alias("congestion_level"),
         "vehicle_count",
         F.round("speed", 1).alias("avg_speed"),
         F.col("mean_hour").cast("int").alias("hour"),
-        (F.col("first.zone") == 1).alias("is_manhattan"),
+        (F.col("first_zone") == 1).alias("is_manhattan"),
         F.col("w.end").alias("last_update"),
         F.lit("live").alias("source"),
     )

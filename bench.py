@@ -53,7 +53,7 @@ def main() -> None:
     labelled = aggregates.with_labels(aggregates.cell_hour(trips))
     sinks.write_parquet(features.feature_table(labelled), f"{root}/features")
     table, _ = files.read_features(spark, f"{root}/features")
-    train, test = features.split_or_fallback(table)
+    train, test = features.temporal_split(table)
     raw_rows, clean_rows, feature_rows = (
         spark.read.parquet(f"{root}/{n}").count() for n in ("raw", "clean", "features")
     )

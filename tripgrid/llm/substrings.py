@@ -174,12 +174,15 @@ def remove_repeats(docs: DataFrame, keep: list[str]) -> DataFrame:
     key = ["k1", "k2"]
     found = _extensions(keyed.select(*key, "text"))
 
-    shared = (
+    # results that are joined back are written first: only then can adaptive execution split a hot
+    # anchor, since both sides of the join come straight from a shuffle
+    shared = stored(
         found.select("anchor", "words")
         .groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("a"), F.max("words").alias("b"))
         .filter("n > 1")
-        .select(F.col("anchor").alias("shared"), (F.col("a") != F.col("b")).alias("differ"))
+        .select(F.col("anchor").alias("shared"), (F.col("a") != F.col("b")).alias("differ")),
+        "shared",
     )
     met = stored(found.join(shared, F.col("anchor") == F.col("shared")).drop("shared"), "anchors")
 
@@ -190,7 +193,7 @@ def remove_repeats(docs: DataFrame, keep: list[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*key, "start", "windows")).alias("copy")),
         "extensions",
     )
-    open_anchors = kinds.filter("n = 1").select("anchor").distinct()
+    open_anchors = stored(kinds.filter("n = 1").select("anchor").distinct(), "open")
     borders = kinds.join(open_anchors, "anchor", "left_semi").select(
         *[F.col(f"copy.{c}").alias(c) for c in key],
         F.struct("anchor", "copy.start", "copy.windows", (F.col("n") == 1).alias("single")).alias("border"),
@@ -200,11 +203,12 @@ def remove_repeats(docs: DataFrame, keep: list[str]) -> DataFrame:
         .join(kinds.filter("n > 1").select("anchor", "words"), ["anchor", "words"], "left_semi")
         .select(*key, "start", "windows")
     )
-    infos = (
+    infos = stored(
         whole_spans.select(*key, F.struct("start", "windows").alias("span"), F.lit(None).alias("border"))
         .unionByName(borders.select(*key, F.lit(None).alias("span"), "border"))
         .groupBy(*key)
-        .agg(F.collect_set("span").alias("spans"), F.collect_set("border").alias("borders"))
+        .agg(F.collect_set("span").alias("spans"), F.collect_set("border").alias("borders")),
+        "infos",
     )
     # one pass over the texts; those with borders wait for the comparison of windows
     split = stored(keyed.join(infos, key, "left"), "spans")
@@ -213,7 +217,7 @@ def remove_repeats(docs: DataFrame, keep: list[str]) -> DataFrame:
     bordered = split.filter(waiting)
     one = bordered.dropDuplicates(key).select(*key, "text", "borders")
     windows = stored(_split_windows(one), "windows")
-    twice = windows.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    twice = stored(windows.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
     more = (
         windows.filter("single")
         .join(twice, ["anchor", "window"], "left_semi")

@@ -4,8 +4,8 @@ Documents are encoded with a tokenizer file, an end id closes each, and the ids
 in the order of doc_id. A shard is two files in the Arrow file format (record batches that can be
 read in any order):
 
-``<name>.arrow``       ``tokens``: fixed_size_list<uint16 or uint32, by vocabulary>[length], ``mask``: fixed_size_list<uint8>[length]
-                       (1 on tokens, 0 on the padding of a shard's last sequence)
+``<name>.arrow``       ``tokens``: fixed_size_list<uint16 or uint32, by vocabulary>[length], ``mask``: fixed_size_list<bool>[length]
+                       (true on tokens, false on the padding of a shard's last sequence)
 ``<name>.docs.arrow``  one row per document: its columns, ``start`` within the shard, ``n_tokens``
 
 Every batch of sequences but the last has the same number of rows, so sequence ``i`` is row
@@ -183,7 +183,7 @@ class ShardWriter:
         self.path = f"{folder}/{self.name}.arrow"
         self.files, root = filesystem(folder)
         self.files.create_dir(root, recursive=True)
-        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(self.kind), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(self.kind), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.index = pa.schema([*columns, pa.field("start", pa.int64()), pa.field("n_tokens", pa.int64())])
         self.sinks = [self.files.open_output_stream(f"{root}/{self.name}{end}") for end in (".arrow", ".docs.arrow")]
         self.out = [pa.ipc.new_file(s, x) for s, x in zip(self.sinks, (self.schema, self.index), strict=True)]
@@ -192,9 +192,9 @@ class ShardWriter:
 
     def _put(self, ids: np.ndarray) -> None:
         pad = -len(ids) % self.length
-        mask = np.ones(len(ids) + pad, np.uint8)
+        mask = np.ones(len(ids) + pad, bool)
         if pad:
-            ids, mask[-pad:] = np.concatenate([ids, np.zeros(pad, self.kind)]), 0
+            ids, mask[-pad:] = np.concatenate([ids, np.zeros(pad, self.kind)]), False
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids.astype(self.kind, copy=False), mask)]
         self.out[0].write_batch(pa.record_batch(columns, schema=self.schema))
 
@@ -231,14 +231,14 @@ class Shard:
         self.length = self.reader.schema.field("tokens").type.list_size
         self.rows = self.reader.get_batch(0).num_rows if self.reader.num_record_batches else 1
 
-    def _view(self, batch: int, column: str) -> np.ndarray:
-        return self.reader.get_batch(batch).column(column).flatten().to_numpy(zero_copy_only=True)
+    def _tokens(self, batch: int) -> np.ndarray:
+        return self.reader.get_batch(batch).column("tokens").flatten().to_numpy(zero_copy_only=True)
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens and mask of sequence ``i``."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Tokens and mask of sequence ``i``, both views; the mask's bits stay packed."""
         batch, row = divmod(i, self.rows)
-        cut = slice(row * self.length, (row + 1) * self.length)
-        return self._view(batch, "tokens")[cut], self._view(batch, "mask")[cut]
+        mask = self.reader.get_batch(batch).column("mask").flatten()
+        return self._tokens(batch)[row * self.length : (row + 1) * self.length], mask.slice(row * self.length, self.length)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """Ids ``start .. start + n`` of the shard; a view unless they cross batches."""
@@ -247,7 +247,7 @@ class Shard:
         while n > 0:
             batch, at = divmod(start, per)
             take = min(n, per - at)
-            parts.append(self._view(batch, "tokens")[at : at + take])
+            parts.append(self._tokens(batch)[at : at + take])
             start, n = start + take, n - take
         return parts[0] if len(parts) == 1 else np.concatenate(parts or [np.empty(0, np.uint32)])
 

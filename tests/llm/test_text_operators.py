@@ -417,6 +417,30 @@ def test_colliding_surrogates_draw_again(spark, monkeypatch):
     assert len({r["new"] for r in pairs}) == 2
 
 
+def test_values_without_letters_or_digits_are_no_secrets(spark):
+    texts = ["Password: ____________", "password = ------------------", "password = ----------------x-"]
+    assert [len(pii.find_spans(t)) for t in texts] == [0, 0, 1]
+    found = by_id(pii.replace_pii(frame(spark, texts), "k"), "text", "n_entities")
+    assert [found[i] for i in (0, 1)] == [(t, 0) for t in texts[:2]]
+    assert found[2][1] == 1 and found[2][0] != texts[2]
+
+
+def test_formats_without_free_values_widen(spark):
+    values = [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz0123456789"] + ["._@example.org", "-@example.net"]
+    docs = frame(spark, values)
+    found = by_id(pii.replace_pii(docs, "k"), "text", "n_entities")
+    assert all(n == 1 for _, n in found.values())
+    news = {t for t, _ in found.values()}
+    assert len(news) == len(values) and not news & set(values)
+    assert all(pii.EMAIL.fullmatch(t) for t in news)
+    for kind, value in (
+        ("email", "a@x.org"), ("ip", "1.2.3.4"), ("card", "4111 1111 1111 1111"), ("phone", "1-1"), ("iban", "DE89370400440532013000"),
+        ("ssn", "123-45-6789"), ("secret", "____________"), ("name_family", "O'Neil"), ("name_given_f", "Ա"), ("name_family", "Ли"),
+    ):
+        sizes = [len(pii.surrogate(b"k", kind, value, pii.NARROW_DRAWS + k)) for k in (0, 30)]
+        assert sizes[0] + 20 < sizes[1], (kind, sizes)
+
+
 # -- 9 quality ------------------------------------------------------------------------------
 
 

@@ -5,9 +5,10 @@ drawn from a keyed hash of the entity, in its own format: digits for digits, let
 script and case for letters, names of the same gender, card numbers that keep issuer digit and
 check digit. The same entity gets the same surrogate wherever it occurs. A check over the table
 finds surrogates that two entities share or that are themselves entities of the corpus; those
-entities draw again until all are distinct.
+entities draw again until all are distinct. Formats with few values run out of free surrogates, so
+after ``NARROW_DRAWS`` draws every further draw is one character (names: one syllable) longer.
 
-Defined cases: null text stays null; texts without entities stay as they are; repeated rows are
+Defined cases: values without a letter or digit are no secrets; null text stays null; texts without entities stay as they are; repeated rows are
 rewritten alike; an empty table gives an empty result; other columns are handed through.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from tripgrid.llm.common import free_name, stored
 
 SPANS = "array<struct<start:int,stop:int,kind:string,value:string>>"
-MAX_DRAWS = 50
+NARROW_DRAWS = 8
 
 # fixed values: forms of address by gender, in the languages covered
 TITLES = {
@@ -58,6 +59,7 @@ PHONE = re.compile(
 )
 CARD = re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")
 DIGIT = re.compile(r"\d")
+ALNUM = re.compile(r"[A-Za-z0-9]")
 
 # fixed values: sounds of surrogate names by script, and endings by gender
 SOUNDS = {
@@ -89,7 +91,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, str, str]]:
 
     lowered = text.lower()
     for m in SECRET.finditer(text) if any(w in lowered for w in SECRET_WORDS) else ():
-        if DIGIT.search(m[1]) or len(m[1]) >= 12:
+        if DIGIT.search(m[1]) or (len(m[1]) >= 12 and ALNUM.search(m[1])):
             add(m.start(1), m.end(1), "secret")
     for m in EMAIL.finditer(text) if "@" in text else ():
         add(m.start(), m.end(), "email")
@@ -156,15 +158,15 @@ class Draw:
         return "".join(out)
 
 
-def _name(draw: Draw, kind: str, word: str) -> str:
+def _name(draw: Draw, kind: str, word: str, extra: int = 0) -> str:
     script = "cyrillic" if regex.search(r"\p{Cyrillic}", word) else "greek" if regex.search(r"\p{Greek}", word) else "latin"
     if not regex.search(r"[\p{Latin}\p{Cyrillic}\p{Greek}]", word):
-        return draw.like(word)
+        return draw.like(word + regex.findall(r"\p{L}", word)[-1].lower() * extra)
     if regex.search(r"[-'’]", word.strip("-'’")):
-        return regex.sub(r"\p{L}+", lambda m: _name(draw, kind, m[0]), word)
+        return regex.sub(r"\p{L}+", lambda m: _name(draw, kind, m[0], extra), word)
     consonants, vowels, endings = SOUNDS[script]
     size = max(2, min(4, len(word) // 2))
-    stem = "".join(consonants[draw.below(len(consonants))] + vowels[draw.below(len(vowels))] for _ in range(size))
+    stem = "".join(consonants[draw.below(len(consonants))] + vowels[draw.below(len(vowels))] for _ in range(size + extra))
     stem += consonants[draw.below(len(consonants))]
     gender = kind[-1] if kind.startswith("name_given_") else "n"
     name = stem + endings[gender][draw.below(len(endings[gender]))]
@@ -174,16 +176,19 @@ def _name(draw: Draw, kind: str, word: str) -> str:
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """Draw number ``attempt`` of the entity's surrogate."""
     draw = Draw(key, kind, value, attempt)
+    extra = max(0, attempt - NARROW_DRAWS + 1)
     if kind.startswith("name_"):
-        return _name(draw, kind, value)
+        return _name(draw, kind, value, extra)
     if kind == "email":
         local, _, domain = value.rpartition("@")
         labels = domain.split(".")
         kept = 2 if re.search(r"(?:^|\.)example\.(?:com|net|org)$", domain.lower()) else 1
         front = Draw(key, "domain", domain.lower()).like(".".join(labels[:-kept]).lower())  # the same host for all its addresses
-        return draw.like(local) + "@" + ".".join([*([front] if front else []), *labels[-kept:]])
+        return draw.like(local + "a" * extra) + "@" + ".".join([*([front] if front else []), *labels[-kept:]])
     if kind == "ip":
-        return ".".join(str(1 + draw.below(223) if i == 0 else draw.below(254) + (i == 3)) for i in range(4))
+        new = ".".join(str(1 + draw.below(223) if i == 0 else draw.below(254) + (i == 3)) for i in range(4))
+        return new + (":" + draw.like("0" * extra) if extra else "")  # a port, as an address has no more digits
+    value += next((c for c in reversed(value) if c.isalnum()), "0") * extra
     if kind == "card":
         out = value[0] + draw.like(value[1:])
         if luhn(re.sub(r"\D", "", value)):
@@ -254,8 +259,6 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         attempt += 1
         if waiting.isEmpty():
             return given
-        if attempt == MAX_DRAWS:
-            raise ValueError("no distinct surrogates left for some entities")
 
 
 def replace_pii(docs: DataFrame, key: str, count: str = "n_entities") -> DataFrame:

@@ -266,6 +266,45 @@ def test_scores_equal_plain_counts(spark):
     assert lm_score.score(docs, labels.limit(0), ["doc_id"], **bits).count() == len(texts) + 1
 
 
+def test_scores_equal_counts_of_real_words(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_CHARS", 20_000)
+    monkeypatch.setattr(lm_score, "RANGE_CHARS", 30_000)
+    rng = random.Random(16)
+    texts = [None, "", "solo", "a a a a", *(prose(rng, 400, 3000) for _ in range(60))]
+    docs = frame(spark, texts)
+    docs = docs.unionByName(docs.filter("doc_id = 5"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)], "doc_id long, quality int")
+    split = [t.split() if t else [] for t in texts]
+    assert len({x for w in split for x in zip(w, w[1:])}) > 20_000
+    sides = [int(i % 3 == 0 and i < 40) for i in range(len(texts))]
+    word, pair = (Counter(), Counter()), (Counter(), Counter())
+    for i, w in enumerate(split):
+        for _ in range(2 if i == 5 else 1):
+            word[sides[i]].update(w)
+            pair[sides[i]].update(zip(w, w[1:]))
+    vocabulary, total = len(word[0] | word[1]), [sum(c.values()) for c in word]
+    found = lm_score.score(docs, labels, ["doc_id"]).collect()
+    assert len(found) == len(texts) + 1
+    for r in found:
+        w = split[r["doc_id"]]
+        own_w, own_p = Counter(w), Counter(zip(w, w[1:]))
+        for side, name in ((0, "loss_background"), (1, "loss_target")):
+            mine = int(sides[r["doc_id"]] == side)
+            loss = 0.0
+            for k, x in enumerate(w):
+                q = (word[side][x] - mine * own_w[x] + 0.5) / (total[side] - mine * len(w) + 0.5 * vocabulary)
+                both = pair[side][w[k - 1], x] - mine * own_p[w[k - 1], x] if k else 0
+                front = word[side][w[k - 1]] - mine * own_w[w[k - 1]] if k else 0
+                loss -= np.log((both + 4 * q) / (front + 4))
+            assert r["n_tokens"] == len(w) and (r[name] == pytest.approx(loss / len(w), rel=1e-9) if w else r[name] is None)
+
+
+def test_counts_stay_whole_and_keys_survive_packing():
+    for keys in ([5], [0, 2**64 - 1], [1, 2, 3], sorted(random.Random(1).sample(range(2**62), 1000))):
+        assert lm_score._unpacked(lm_score._packed(np.array(keys, np.uint64))).tolist() == keys
+    assert lm_score._grown(lm_score._shrunk(np.array([2**24 + 1, 2**40 + 1]))).tolist() == [2**24 + 1, 2**40 + 1]
+
+
 # -- 6 language -----------------------------------------------------------------------------
 
 

@@ -222,6 +222,25 @@ def test_token_query(spark, library):
         at += len(ids)
 
 
+def test_added_tokens_in_texts_equal_default_library(spark):
+    from tokenizers import Tokenizer
+
+    default = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    texts = [
+        "a <|endoftext|> b<|startoftext|>c", "plain text", "x<|endoftext|>", "<|ENDOFTEXT|> a", "", "<|endoftext|>" * 3,
+        "Word <|endoftext |>", *(t or "" for t in HARD),
+    ]
+    want = [default.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [320, 49407, 321, 49406, 322]
+    ids, sizes = token_files.TextEncoder(queries.WORD_TOKENIZER).encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    manifest = token_files.write_shards(frame(spark, texts), queries.WORD_TOKENIZER, 1, length=16, rows=4)
+    found = by_id(token_files.read_documents(manifest), "start", "n_tokens", "ids")
+    starts = np.cumsum([0, *(len(x) + 1 for x in want)]).tolist()
+    for i, x in enumerate(want):
+        assert found[i][:2] == (starts[i], len(x) + 1) and np.frombuffer(found[i][2], "<u4").tolist() == [*x, 1]
+
+
 def test_token_files_of_nothing(spark):
     manifest = token_files.write_shards(frame(spark, []), queries.WORD_TOKENIZER, 1)
     assert token_files.read_documents(manifest).count() == 0

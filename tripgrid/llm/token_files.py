@@ -15,7 +15,8 @@ A task writes files of its own under a random name and reports them only when th
 the manifest holds the reported ones. A retried or doubled task leaves unreported files and
 nothing else, so lost executors do no harm.
 
-Defined cases: null text has the end id only; documents with equal or null ids follow one another
+Defined cases: null text has the end id only; the content of an added token in a text gives that
+token's id, as in the library; documents with equal or null ids follow one another
 in the order of their text's hash (null ids first); an empty table gives no shard and an empty
 result; other columns are left out unless named.
 """
@@ -51,6 +52,8 @@ class WordMemo:
     The vocabulary's rules never join anything across white space, so a text's ids are those of its
     words one after another; only words not met before go to the library. Many go in one string,
     with a mark between them whose id no word without that character has.
+
+    Names of added tokens are ordinary words to it; texts that hold one are the `TextEncoder`'s.
     """
 
     def __init__(self, path: str) -> None:
@@ -159,14 +162,48 @@ class WordMemo:
         return self._gather(codes), np.diff(stops[ends])
 
 
-_memo: dict[str, WordMemo] = {}
+class TextEncoder(WordMemo):
+    """Ids as the library gives them with ``add_special_tokens=False`` and no other setting.
+
+    A text that holds the content of an added token goes to the library as it is, because there it
+    gives that token's id; all other texts go through the memory of words.
+    """
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        added = self.library.get_added_tokens_decoder().values()
+        # the library looks for normalised tokens in the normalised text
+        self.exact = [t.content for t in added if not t.normalized]
+        self.folded = [t.content for t in added if t.normalized]
+
+    def _special(self, text: str) -> bool:
+        if any(x in text for x in self.exact):
+            return True
+        return bool(self.folded) and any(x in self.library.normalizer.normalize_str(text) for x in self.folded)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        special = [i for i, t in enumerate(texts) if self._special(t)]
+        if not special:
+            return super().encode(texts)
+        own = dict(zip(special, self.library.encode_batch_fast([texts[i] for i in special], add_special_tokens=False), strict=True))
+        ids, sizes = super().encode(["" if i in own else t for i, t in enumerate(texts)])
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for i, found in own.items():
+            parts[i] = np.array(found.ids, self.flat.dtype)
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+
+_memo: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> WordMemo:
+def encoder(path: str) -> TextEncoder:
     """One encoder for each worker process and vocabulary."""
     if path not in _memo:
         _memo.clear()
-        _memo[path] = WordMemo(path)
+        _memo[path] = TextEncoder(path)
     return _memo[path]
 
 

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrid.llm import byte_bpe, decontaminate, html_text, jaccard_join, language, lm_score, pii, quality, substrings, token_files, twins
+from tripgrid.llm import (
+    byte_bpe, conversations, decontaminate, filter_audit, html_text, jaccard_join, language, licences, lm_score, pii, quality, substrings,
+    token_files, twins,
+)
 from tripgrid.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +84,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations"))).summary
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -92,9 +108,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_license_scans": op11_license_scans,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_filter_audit": op13_filter_audit,
 }
 #: the other operators are tested against plain versions in tests/llm
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_jaccard_join": twins.JACCARD_JOIN,
     "op10_substring_dedup": twins.REPEATED_PASSAGES,
+    "op13_filter_audit": twins.FILTER_AUDIT,
 }

@@ -1,8 +1,10 @@
 """Operators against brute force on small inputs, ties and gaps included."""
 
 import datetime as dt
+import math
 import random
 import statistics
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tripgrid import profiles
 from tripgrid.functions.numeric import stable_avg
-from tripgrid.operators import aggregates, analysis, features, joins, ml, state
+from tripgrid.operators import aggregates, analysis, features, joins, ml, quantiles, state
 from tripgrid.plans import views
 from tripgrid.sources import sinks
 from tripgrid.streaming import events
@@ -75,6 +77,48 @@ def test_exact_quantiles(spark, values, limits):
     assert found["z"]["median"] == 1.5
 
 
+EXTREMES = [-1.7e308, -1.0, -5e-324, 0.0, 5e-324, 2.2250738585072014e-308, 1e-300, 1.0, 1.7e308]
+
+
+def test_ordered_form_follows_the_bits(spark):
+    rng = random.Random(4)
+    values = [*EXTREMES, -0.0, 1.7976931348623157e308, 2.225073858507201e-308]
+    values += [s * math.ldexp(1.0, e) for e in range(-1074, 1024, 7) for s in (1, -1)]
+    values += [math.nextafter(math.ldexp(1.0, e), d) for e in (-1022, -52, -1, 0, 1, 52, 1023) for d in (0.0, math.inf)]
+    values += [struct.unpack("<d", struct.pack("<q", rng.getrandbits(63)))[0] for _ in range(3000)]
+    values = [v for v in values if math.isfinite(v)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for row in df.select("v", quantiles.ordered_form("v").alias("o")).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(row["v"])))[0]
+        assert row["o"] == (-bits if row["v"] < 0 else bits), row["v"]
+
+
+@pytest.mark.parametrize("slots", [2, 1024])
+def test_quantiles_of_extreme_doubles_end(spark, slots):
+    rng = random.Random(8)
+    values = EXTREMES + [rng.choice((1, -1)) * 10.0 ** rng.randrange(-300, 300) for _ in range(40)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = quantiles.exact_quantiles(df, "v", {f"q{k}": k / 48 for k in range(49)}, slots=slots, largest=2).first()
+    assert [found[f"q{k}"] for k in range(49)] == sorted(values)
+    wide = spark.createDataFrame([(-1.7e308,), (1.7e308,)], "v double")
+    assert quantiles.exact_quantiles(wide, "v", {"m": 0.5}).first()["m"] == 0.0
+
+
+def test_quantiles_read_their_input_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("cast(id as double) as v").mapInArrow(count, "v double")
+    row = analysis.robust_statistics(df, "v", F.col("v") >= 0).first()
+    assert (row["median"], row["value_count"], row["max"]) == (499.5, 1000, 999.0)
+    assert sum(r["row_count"] for r in analysis.width_histogram(df, "v").collect()) == 1000
+    assert reads.value == 2000
+
+
 @pytest.mark.parametrize("n", [1, 7, 40, 10_000])
 def test_smallest_rows_with_many_copies(spark, n):
     rows = [(1, "a")] * 30 + [(i % 5, chr(97 + i % 3)) for i in range(60)]
@@ -115,13 +159,32 @@ def test_zone_matchers_agree_with_brute_force(spark):
     }
     literal = df.select("id", joins.landmark_name("latitude", "longitude").alias("zone_name"))
     by_table = joins.match_zones(df, joins.landmark_table(spark))
-    salted = joins.match_zones(df.unionByName(df), joins.landmark_table(spark), broadcast_tiles=0)
+    salted = joins.match_zones(df.unionByName(df), joins.landmark_table(spark), broadcast_zones=0)
     assert salted.count() == 800
     for found in (literal, by_table, salted):
         assert {r["id"]: r["zone_name"] for r in found.collect()} == expected
     assert len(set(expected.values())) > 5
 
 
+@pytest.mark.parametrize("broadcast_zones", [100_000, 0])
+def test_crowded_tiles_are_cut(spark, broadcast_zones):
+    """Thousands of zones in one tile, many of them equal or one above the other."""
+    rng = random.Random(6)
+    zones = [(i, f"z{i}", rng.gauss(40.71, 0.001), rng.gauss(-74.01, 0.001), rng.choice((1e-4, 3e-4, 0.01))) for i in range(800)]
+    zones += [(1000 + i, f"y{i}", 40.72, -74.02, 0.0005) for i in range(800)]
+    points = [(i, rng.gauss(40.71, 0.002), rng.gauss(-74.01, 0.002)) for i in range(300)] + [(300, 40.72, -74.02)]
+    table = spark.createDataFrame(zones, "zone_order int, name string, lat double, lon double, radius double")
+    df = spark.createDataFrame(points, "id int, latitude double, longitude double")
+    found = joins.match_zones(df, table, broadcast_zones=broadcast_zones, crowd=30)
+    expected = {
+        i: next((n for _, n, a, o, r in sorted(zones) if math.sqrt((lat - a) * (lat - a) + (lon - o) * (lon - o)) < r), None)
+        for i, lat, lon in points
+    }
+    assert {r["id"]: r["zone_name"] for r in found.collect()} == expected
+    tiles = joins.zone_tiles(table, 0.05, crowd=30)
+    assert len(tiles) > 3 and max(t.agg(F.max(F.size("_zones"))).first()[0] or 0 for _, t in tiles) <= 30
+
+
 def test_zone_lists_of_any_length(spark):
     far = [(f"far {i}", 50.0 + i, 0.0, 0.01) for i in range(300)]
     df = spark.createDataFrame([(profiles.LANDMARKS[0][1], profiles.LANDMARKS[0][2])], "a double, b double")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripgrid import profiles
 from tripgrid.functions import labels, temporal
-from tripgrid.functions.numeric import band, percent_of, stable_avg
-from tripgrid.session import scratch_dir
+from tripgrid.functions.numeric import band, fixed_point, percent_of, stable_avg
+from tripgrid.operators import quantiles
+from tripgrid.operators.quantiles import exact_quantiles, ordered_form
 
 # Day names by Spark's numbering, 1 = Sunday.
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
@@ -159,152 +162,38 @@ def speed_classes(trips: DataFrame) -> DataFrame:
 def width_histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     """Counts in ``bins`` equal intervals from minimum to maximum; the last one is closed.
 
-    Minimum and maximum are scalar subqueries of one aggregate, so this reads ``df`` twice
-    and shuffles at most ``bins`` rows per task.
+    Values are counted once per distinct value; extent and bins come from these counts.
+    Values that are no finite numbers are in no bin.
     """
-    extent = df.agg(
-        F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("e")
-    ).scalar()
+    counted, _ = quantiles.count_values(df, value)
+    extent = counted.agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high")).alias("e")).scalar()
     low, high = extent.getField("low"), extent.getField("high")
-    position = F.floor(F.try_divide((F.col(value) - low) * float(bins), high - low))
+    position = F.floor(F.try_divide((F.col("_v") - low) * float(bins), high - low))
     index = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
-    return df.filter(F.col(value).isNotNull()).groupBy(index.alias("bin")).agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
-
+    return counted.groupBy(index.alias("bin")).agg(F.sum("_n").alias("row_count"))
 
-SLOTS = 1024
-LARGEST_SLOT = 10_000
 
+def robust_statistics(df: DataFrame, value: str, valid: Column) -> DataFrame:
+    """Count, mean, exact median, deviation, minimum and maximum of the valid, finite values.
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probabilities: dict[str, float],
-    keys: tuple[str, ...] = (),
-    slots: int = SLOTS,
-    largest: int = LARGEST_SLOT,
-) -> DataFrame:
-    """Exact interpolated quantiles without gathering a group.
-
-    1. Count rows per distinct value: a value repeated in a third of the data is one row
-       per task from here on. The counts are stored, as every following step reads them.
-    2. Cut each key's range, from its own minimum to its maximum, into ``slots`` intervals of
-       equal width and find by their totals which interval holds a wanted rank.
-    3. Where such an interval has more than ``largest`` distinct values, cut it again in the
-       same way. Intervals shrink by the factor ``slots``, so a few rounds reach the resolution
-       of a double whatever the distribution.
-    4. Rank the distinct values inside the intervals left, at most ``largest`` of them each.
-
-    The result holds one row per key with the count and one column per probability; rows
-    with a missing key are left out, and values that are no finite numbers count as missing.
+    All of it comes from the counts per distinct value, so ``df`` is read once.
     """
-    keys = list(keys)
-    number = F.col(value).cast("double")
-    counted = (
-        df.filter(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf")))
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .dropna(subset=keys)
-    )
-    if keys:
-        counted = counted.withColumn("_key", F.struct(*keys))
-    else:
-        counted = counted.withColumn("_key", F.struct(F.lit(0).alias("all")))
-    spark = df.sparkSession
-    root = scratch_dir(spark, "quantiles")
-    counted.select("_key", "_v", "_n").write.parquet(f"{root}/counted")
-    counted = spark.read.parquet(f"{root}/counted")
-    wanted = [
-        F.struct(F.lit(f"{name}_{side}").alias("mark"), rank.cast("long").alias("rank"))
-        for name, p in probabilities.items()
-        for side, rank in (("lo", F.floor(_position(p))), ("hi", F.ceil(_position(p))))
-    ]
-    # one row per key and mark: the interval known to hold its rank, and the rows before it
-    marks = counted.groupBy("_key").agg(
-        F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_total"),
-        F.count(F.lit(1)).alias("_values"),
-    ).select(
-        "*", F.lit(0).cast("long").alias("_before"), F.explode(F.array(*wanted)).alias("_w")
-    ).select("_key", "_low", "_high", "_total", "_values", "_before", "_w.mark", "_w.rank")
-    step = 0
-    while True:
-        marks.write.parquet(f"{root}/marks-{step}")
-        marks = spark.read.parquet(f"{root}/marks-{step}")
-        wide = (F.col("_values") > largest) & (F.col("_low") < F.col("_high"))
-        if marks.filter(wide).isEmpty():
-            break
-        marks = marks.filter(~wide).unionByName(_narrowed(counted, marks.filter(wide), slots))
-        step += 1
-    inside = Window.partitionBy("_key", "mark").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    in_interval = (F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high"))
-    found = (
-        counted.join(marks, "_key").filter(in_interval)
-        .withColumn("_last", F.col("_before") + F.sum("_n").over(inside))
-        .filter((F.col("rank") < F.col("_last")) & (F.col("rank") >= F.col("_last") - F.col("_n")))
-    )
-    at = lambda mark: F.max(F.when(F.col("mark") == mark, F.col("_v")))
-    ends = found.groupBy("_key").agg(
-        F.max("_total").alias("_total"),
-        *[at(f"{n}_{side}").alias(f"_{n}_{side}") for n in probabilities for side in ("lo", "hi")],
-    )
-    return ends.select(
-        *[F.col(f"_key.{k}").alias(k) for k in keys], F.col("_total").alias("value_count"),
-        *[
-            (
-                F.col(f"_{n}_lo")
-                + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * (_position(p) - F.floor(_position(p)))
-            ).alias(n)
-            for n, p in probabilities.items()
-        ],
-    )
-
-
-def _narrowed(counted: DataFrame, marks: DataFrame, slots: int) -> DataFrame:
-    """Marks with the one of ``slots`` equal parts of their interval that holds their rank."""
-    share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
-    slot = F.least(F.floor(share * slots), F.lit(slots - 1)).alias("_slot")
-    known = ["_key", "mark", "rank", "_total", "_low", "_high", "_before"]
-    parts = (
-        counted.join(marks.drop("_values"), "_key")
-        .filter((F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high")))
-        .groupBy(*known, slot)
-        .agg(
-            F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_values"),
-            F.min("_v").alias("_first"), F.max("_v").alias("_last"),
-        )
-    )
-    running = Window.partitionBy("_key", "mark").orderBy("_slot").rowsBetween(
-        Window.unboundedPreceding, 0
+    counted, distinct = quantiles.count_values(df.filter(valid), value)
+    n, v = F.col("_n"), F.col("_v")
+    total = F.sum(n).cast("double")
+    mean = F.try_divide(F.sum(fixed_point(v, 6) * n).cast("double"), total * 1e6)
+    centre = counted.agg(mean.alias("m")).scalar()
+    moments = counted.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("value_count"),
+        mean.alias("mean"),
+        F.when(F.sum(n) > 1, F.sqrt(F.sum(n * (v - centre) * (v - centre)) / (total - 1))).alias("std"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
     )
-    upto = parts.withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
-    start = F.col("_upto") - F.col("_n")
-    held = upto.filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= start))
-    return held.select(
-        "_key", F.col("_first").alias("_low"), F.col("_last").alias("_high"), "_total", "_values",
-        start.alias("_before"), "mark", "rank",
-    )
-
-
-def _position(p: float) -> Column:
-    """Zero-based fractional rank of a probability among ``_total`` sorted values."""
-    return (F.col("_total") - 1) * F.lit(float(p))
-
-
-def robust_statistics(df: DataFrame, value: str, valid: Column) -> DataFrame:
-    """Count, mean, exact median, deviation, minimum and maximum of the valid values."""
-    kept = df.filter(valid)
-    moments = kept.agg(
-        F.count(value).alias("value_count"),
-        stable_avg(value, 6).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    found = quantiles.quantiles_of_counts(
+        counted, distinct, {"median": 0.5}, (), quantiles.SLOTS, quantiles.LARGEST_SLOT
     )
-    median = exact_quantiles(kept, value, {"median": 0.5}).select("median").scalar()
-    return moments.withColumn("median", median)
+    return moments.withColumn("median", found.select("median").scalar())
 
 
 def zone_speed_percentiles(trips: DataFrame, probabilities=(0.25, 0.5, 0.75, 0.9)) -> DataFrame:
@@ -381,15 +270,17 @@ def cell_history(cells: DataFrame) -> DataFrame:
     """Per cell and day: mean index, its peak and low with the hour of each."""
     index = labels.speed_index("avg_speed")
     day = F.date_trunc("day", F.col("hour_bucket"))
+    # index and hour packed into one number, so that the rows are aggregated by hash
+    packed = lambda hour: ordered_form("index").cast("decimal(38,0)") * 32 + hour
     return (
         cells.select("cell_id", day.alias("day"), "hour", index.alias("index"))
         .groupBy("cell_id", "day")
         .agg(
             stable_avg("index", 6).alias("avg_congestion"),
             F.max("index").alias("peak_congestion"),
-            F.max_by("hour", F.struct("index", -F.col("hour"))).alias("peak_hour"),
+            F.max_by("hour", packed(31 - F.col("hour"))).alias("peak_hour"),
             F.min("index").alias("low_congestion"),
-            F.min_by("hour", F.struct("index", "hour")).alias("low_hour"),
+            F.min_by("hour", packed(F.col("hour"))).alias("low_hour"),
         )
     )
 
@@ -399,15 +290,19 @@ def history_series(
     interval: str = "1 hour",
     hours: int | None = None,
     cell: str | None = None,
+    newest: datetime | None = None,
 ) -> DataFrame:
-    """Mean index, vehicles and mean speed per time step, optionally the last ``hours`` only."""
+    """Mean index, vehicles and mean speed per time step, optionally the last ``hours`` only.
+
+    The bound is a literal, so it reaches the scan and the folders of a month. ``newest`` is the
+    time to count back from; left out, one pass over the time column finds it.
+    """
     if cell is not None:
         trips = trips.filter(F.col("cell_id") == cell)
     if hours is not None:
-        newest = trips.agg(F.max("pickup_datetime")).scalar()
-        trips = trips.filter(
-            F.col("pickup_datetime") > newest - F.make_dt_interval(hours=F.lit(hours))
-        )
+        newest = newest or trips.agg(F.max("pickup_datetime")).first()[0]
+        if newest is not None:
+            trips = trips.filter(F.col("pickup_datetime") > F.lit(newest - timedelta(hours=hours)))
     steps = trips.groupBy(F.window("pickup_datetime", interval).alias("w")).agg(
         stable_avg(labels.speed_index("speed_mph"), 6).alias("avg_congestion"),
         F.count(F.lit(1)).alias("total_vehicles"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tripgrid import profiles
 from tripgrid.functions.numeric import stable_avg
-from tripgrid.operators import aggregates, analysis, features, joins, quality
+from tripgrid.operators import aggregates, analysis, features, joins, quality, quantiles
 from tripgrid.operators.cleaning import prepare_trips
 from tripgrid.operators.state import hotspots, overview_series
 from tripgrid.plans import views
@@ -282,6 +282,26 @@ def a26_speed(spark, d):
     )
 
 
+_EXTREMES = """CASE l_partkey % 4 WHEN 0 THEN (l_suppkey % 11 - 5) * 3.4e307::DOUBLE
+  WHEN 1 THEN (l_suppkey % 11 - 5) * 1e-322::DOUBLE WHEN 2 THEN (l_suppkey % 11 - 5)::DOUBLE
+  ELSE (l_suppkey % 11 - 5) * 1e-300::DOUBLE END"""
+
+
+@query("a26_extreme_quantiles", f"""
+SELECT l_linenumber, count(*) AS value_count, min(v) AS low, quantile_cont(v, 0.5) AS median, max(v) AS high
+FROM (SELECT l_linenumber, {_EXTREMES} AS v FROM lineitem WHERE l_linenumber < 4) GROUP BY l_linenumber""")
+def a26_extreme(spark, d):
+    """From the largest doubles to subnormals, in intervals cut down to two values."""
+    line = fixtures.table(spark, d, "lineitem").filter("l_linenumber < 4")
+    k = (F.col("l_suppkey") % 11 - 5).cast("double")
+    part = F.col("l_partkey") % 4
+    v = F.when(part == 0, k * 3.4e307).when(part == 1, k * 1e-322).when(part == 2, k).otherwise(k * 1e-300)
+    found = quantiles.exact_quantiles(
+        line.withColumn("v", v), "v", {"low": 0.0, "median": 0.5, "high": 1.0}, ("l_linenumber",), largest=2
+    )
+    return found
+
+
 @query("a27_speed_classes", sql_from("clean", f"""
 SELECT high, medium, low, total, {sql_percent('high', 'total')} AS high_percent,
   {sql_percent('medium', 'total')} AS medium_percent, {sql_percent('low', 'total')} AS low_percent
@@ -532,10 +552,36 @@ def j02_repeated(spark, d):
     """Points that occur twice stay two; the salted way, for zone tables of any size."""
     state = views.traffic_state(spark, d).select("cell_id", "latitude", "longitude")
     twice = state.unionByName(state)
-    matched = joins.match_zones(twice, joins.landmark_table(spark), broadcast_tiles=0)
+    matched = joins.match_zones(twice, joins.landmark_table(spark), broadcast_zones=0)
     return matched.select("cell_id", "zone_name")
 
 
+@query("j02_crowded_tiles", """
+WITH zones AS (SELECT p_partkey AS zone_order, 'zone_' || p_partkey AS name,
+    40.7::DOUBLE + (p_partkey * 37 % 1000) * 1e-5::DOUBLE AS lat,
+    -74.0::DOUBLE + (p_partkey * 91 % 1000) * 1e-5::DOUBLE AS lon,
+    0.0004::DOUBLE + (p_partkey % 7) * 1e-4::DOUBLE AS radius FROM part),
+points AS (SELECT c_custkey AS id, 40.7::DOUBLE + (c_custkey * 13 % 1000) * 1e-5::DOUBLE AS lat,
+    -74.0::DOUBLE + (c_custkey * 57 % 1003) * 1e-5::DOUBLE AS lon FROM customer),
+hits AS (SELECT p.id, first(name ORDER BY zone_order) AS zone_name FROM points p JOIN zones z
+  ON sqrt((p.lat - z.lat) * (p.lat - z.lat) + (p.lon - z.lon) * (p.lon - z.lon)) < z.radius GROUP BY p.id)
+SELECT id, zone_name FROM points LEFT JOIN hits USING (id)""")
+def j02_crowded(spark, d):
+    """As many zones as parts within one tile; lists of at most 20 zones."""
+    k = F.col("p_partkey")
+    zones = fixtures.table(spark, d, "part").select(
+        k.alias("zone_order"), F.concat(F.lit("zone_"), k.cast("string")).alias("name"),
+        (F.lit(40.7) + (k * 37 % 1000) * 1e-5).alias("lat"), (F.lit(-74.0) + (k * 91 % 1000) * 1e-5).alias("lon"),
+        (F.lit(0.0004) + (k % 7) * 1e-4).alias("radius"),
+    )
+    c = F.col("c_custkey")
+    points = fixtures.table(spark, d, "customer").select(
+        c.alias("id"), (F.lit(40.7) + (c * 13 % 1000) * 1e-5).alias("latitude"),
+        (F.lit(-74.0) + (c * 57 % 1003) * 1e-5).alias("longitude"),
+    )
+    return joins.match_zones(points, zones, crowd=20).select("id", "zone_name")
+
+
 @query("j02_trips_per_landmark", sql_from("clean", f"""
 , zones AS (SELECT * FROM (VALUES {_ZONES_SQL}) t(zone_order, name, lat, lon, radius)),
 points AS (SELECT pickup_lat AS lat, pickup_lon AS lon, count(*) AS n FROM clean GROUP BY ALL),

@@ -2,6 +2,7 @@
 
     python -m tripgrid.plans.jobs clean    --input RAW_CSV --output CLEAN
     python -m tripgrid.plans.jobs features --input CLEAN --output FEATURES
+    python -m tripgrid.plans.jobs snapshot --input CLEAN --output SNAPSHOT --history HISTORY
     python -m tripgrid.plans.jobs train    --input FEATURES --output MODEL
     python -m tripgrid.plans.jobs score    --input ROWS --model MODEL --output SCORES
     python -m tripgrid.plans.jobs stream   --input EVENTS --output STREAMS --sinks raw,windows,state
@@ -16,12 +17,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from tripgrid import profiles
-from tripgrid.operators import aggregates, features, ml, quality
+from tripgrid.operators import aggregates, features, history, ml, quality
 from tripgrid.operators.cleaning import from_prepared
 from tripgrid.schemas import GPS_EVENT
 from tripgrid.session import TARGETS, build_session, release_scratch
 from tripgrid.sources import files, sinks
-from tripgrid.streaming import enrich, events, queries, windows
+from tripgrid.streaming import cell_state, enrich, events, queries, state_log, windows
 
 
 def run_cleaning(
@@ -56,6 +57,16 @@ def run_features(
     sinks.write_parquet(table, target, partition_by=("dataset_split", "month"))
 
 
+def run_snapshot(spark: SparkSession, source: str, target: str, months: str) -> None:
+    """History snapshot for ``stream`` from the clean trips matching ``source``.
+
+    Their months replace the same months of the sums below ``months`` and leave all others, so a
+    new month costs its own trips. The snapshot replaces the one at ``target``.
+    """
+    history.add_months(aggregates.with_labels(aggregates.cell_hour(files.read_clean(spark, source))), months)
+    sinks.write_parquet(history.snapshot(spark, months), target)
+
+
 def run_training(
     spark: SparkSession, source: str, target: str, kinds=("rf", "gbt", "lr"),
     by_date: bool = True, **overrides
@@ -102,9 +113,11 @@ def run_stream(
     ``source`` is a stream of GPS events with ``event_ts``. Each sink is a query with its own
     trigger (``every``, by sink) and its own checkpoint; the failure of one stops the set.
     ``scores`` needs the stored ``model`` and the history ``snapshot``, which is read anew for
-    each batch.
+    each batch. ``state`` is a log that merges its folders while the stream runs (read it with
+    ``state_log``); ``keyed`` keeps the newest window per cell in the query's own store (read it
+    with ``cell_state.read_cell_state``) and writes the changes.
     """
-    every = {"raw": "30 seconds", "windows": "30 seconds", "scores": "10 seconds",
+    every = {"keyed": "10 seconds", "raw": "30 seconds", "windows": "30 seconds", "scores": "10 seconds",
              "state": "10 seconds", "console": "10 seconds", **(every or {})}
     place = lambda name: (f"{target}/{name}", f"{target}/checkpoints/{run}/{name}")
     running = []
@@ -125,9 +138,14 @@ def run_stream(
             )
             query = queries.to_batches(source, handle, checkpoint, every=every[name])
         elif name == "state":
-            handle = queries.changelog_handler(path, "cell_id", "window_end")
+            log = state_log.StateLog(spark, path, state_log.newest_rows("cell_id", "window_end"))
             rows = windows.window_aggregates(source)
-            query = queries.to_batches(rows, handle, checkpoint, "update", every[name])
+            query = queries.to_batches(rows, log.handler(run), checkpoint, "update", every[name])
+        elif name == "keyed":
+            changes = state_log.StateLog(spark, path, state_log.all_rows())
+            with cell_state.keyed_state(spark):
+                rows = cell_state.cell_state_stream(source)
+                query = queries.to_batches(rows, changes.handler(run), checkpoint, "update", every[name])
         else:
             raise ValueError(f"unknown sink {name!r}")
         running.append(query)
@@ -144,7 +162,7 @@ def _event_stream(spark: SparkSession, args) -> DataFrame:
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("step", choices=("clean", "features", "train", "score", "stream"))
+    parser.add_argument("step", choices=("clean", "features", "snapshot", "train", "score", "stream"))
     parser.add_argument("--input", required=True, help="path, or the topic with --kafka")
     parser.add_argument("--output", required=True)
     parser.add_argument("--master", help="left to spark-submit when not given")
@@ -154,6 +172,7 @@ def main() -> None:
     parser.add_argument("--profile", choices=sorted(profiles.CLEAN_PROFILES), default="standard")
     parser.add_argument("--model", help="stored model, for score and stream")
     parser.add_argument("--snapshot", help="stored cell history, for stream")
+    parser.add_argument("--history", help="sums by month, for snapshot")
     parser.add_argument("--kafka", help="servers of the event topic, for stream")
     parser.add_argument("--format", default="json", help="of event files, for stream")
     parser.add_argument("--sinks", default="raw,windows,state")
@@ -170,6 +189,8 @@ def main() -> None:
         run_cleaning(spark, args.input, args.output, profile).show()
     elif args.step == "features":
         run_features(spark, args.input, args.output)
+    elif args.step == "snapshot":
+        run_snapshot(spark, args.input, args.output, args.history or f"{args.output}-months")
     elif args.step == "train":
         run_training(spark, args.input, args.output).show()
     elif args.step == "score":

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tripgrid.functions import temporal
-from tripgrid.operators import state
+from tripgrid.operators import history, state
 from tripgrid.operators.cleaning import clean_trips
 from tripgrid.plans import views
 from tripgrid.plans.registry import query, rounded
@@ -18,7 +18,7 @@ from tripgrid.plans.views import sql_from, sql_level, sql_mean, sql_piecewise, s
 from tripgrid.schemas import GPS_EVENT, TRIP_EVENT
 from tripgrid.session import scratch_dir
 from tripgrid.sources import fixtures
-from tripgrid.streaming import enrich, events, queries, windows
+from tripgrid.streaming import cell_state, enrich, events, late, queries, state_log, windows
 
 # ---- payloads -------------------------------------------------------------------------------
 
@@ -440,3 +440,208 @@ def r09_restarted(spark, d):
     second = _changes(spark, d, F.min("l_suppkey")).filter("k < 250")
     queries.changelog_handler(path, "k", "newest")(second, 0)
     return queries.read_state(spark, path, "k", "newest")
+
+
+# ---- state inside the stream, logs under a manifest, late rows ------------------------------
+
+
+@query("r09_keyed_state_stream", sql_from("gps", _BRIDGE_SQL))
+def r09_keyed(spark, d):
+    """Newest window per cell in the stream's own store, in two runs of one checkpoint."""
+    folder = scratch_dir(spark, "keyed")
+    table = fixtures.table(spark, d, "lineitem")
+    for half in (0, 1):
+        # the second run finds new files and the state the first one left
+        table.filter(F.col("l_orderkey") % 2 == half).write.mode("append").parquet(f"{folder}/in")
+        source = queries.file_source(spark, f"{folder}/in", table.schema)
+        gps = events.with_event_time(events.gps_events(clean_trips(
+            fixtures.trips_from_lineitem(source).drop("l_orderkey"))))
+        with cell_state.keyed_state(spark):
+            running = queries.start(
+                cell_state.cell_state_stream(gps), queries.Sink("noop"), f"{folder}/checkpoint",
+                mode="update", every=None,
+            )
+            queries.await_all([running])
+    return state.bridge_state(cell_state.read_cell_state(spark, f"{folder}/checkpoint"))
+
+
+@query("r09_state_log_stream", sql_from("gps", _BRIDGE_SQL))
+def r09_log(spark, d):
+    """Newest window per cell in a log that merges its folders while the stream runs.
+
+    Batches come in no order of time, so the watermark is a year behind and shuts nothing out.
+    """
+    folder = scratch_dir(spark, "log")
+    log = state_log.StateLog(spark, f"{folder}/log", state_log.newest_rows("cell_id", "window_end"), every=2)
+    table = fixtures.table(spark, d, "lineitem")
+    table.repartitionByRange(5, "l_orderkey").write.parquet(f"{folder}/in")
+    source = queries.file_source(spark, f"{folder}/in", table.schema, files_per_batch=1)
+    gps = events.with_event_time(events.gps_events(clean_trips(
+        fixtures.trips_from_lineitem(source).drop("l_orderkey"))))
+    queries.await_all([queries.to_batches(
+        windows.window_aggregates(gps, lateness="366 days"), log.handler("main"), f"{folder}/checkpoint", mode="update", every=None
+    )])
+    return state.bridge_state(log.read())
+
+
+@query("r09_log_of_many_batches", """
+SELECT k, max(v) AS v, count(*) AS n FROM (
+  SELECT l_orderkey % 50 AS k, max(l_orderkey) AS v FROM lineitem GROUP BY l_orderkey % 50, l_orderkey % 16)
+GROUP BY k""")
+def r09_many(spark, d):
+    """Sixteen batches, merged in tiers of four; ``n`` counts the batches that touched a key."""
+    path = scratch_dir(spark, "log")
+    line = fixtures.table(spark, d, "lineitem").select("l_orderkey")
+    key = (F.col("l_orderkey") % 50).alias("k")
+    changes = line.groupBy(key, (F.col("l_orderkey") % 16).alias("batch")).agg(F.max("l_orderkey").alias("v"))
+    stored = scratch_dir(spark, "changes")
+    changes.withColumn("n", F.lit(1).cast("long")).write.parquet(stored)
+
+    def add(rows):
+        return rows.drop(state_log.SEQ).groupBy("k").agg(F.max("v").alias("v"), F.sum("n").alias("n"))
+
+    log = state_log.StateLog(spark, path, add, every=4)
+    for epoch in range(16):
+        log.append(spark.read.parquet(stored).filter(F.col("batch") == epoch).drop("batch"), "main", epoch)
+    if len(log.current()[1]["entries"]) > 6:
+        raise RuntimeError("the log does not merge its folders")
+    return log.read()
+
+
+@query("r10_chained_rate_stream", sql_from("gps", """
+SELECT date_trunc('second', event_ts) AS second, count(*) AS events_per_second,
+  count(DISTINCT cell_id) AS active_cells FROM gps GROUP BY 1
+HAVING date_trunc('second', event_ts) + INTERVAL 1 SECOND
+  <= (SELECT max(event_ts) FROM gps) - INTERVAL 2 MINUTE"""))
+def r10_chained(spark, d):
+    """Exact rates from one query of two aggregations."""
+    return _run_to_parquet(spark, windows.chained_event_rate(gps_stream(spark, d)), "chained")
+
+
+_LATE_SQL = """
+, marked AS (
+  SELECT *, (SELECT max(event_ts) FROM speeds b WHERE b.event_id % 5 < a.event_id % 5) - INTERVAL 2 MINUTE AS mark,
+    time_bucket(INTERVAL 1 HOUR, event_ts) + INTERVAL 1 HOUR AS window_end
+  FROM speeds a),
+judged AS (SELECT *, coalesce(window_end <= mark, false) AS late FROM marked)
+"""
+
+
+def _late_run(spark, d):
+    """Hourly windows over five batches of events, each of which reaches over the whole time."""
+    folder = scratch_dir(spark, "late")
+    table = fixtures.table(spark, d, "events")
+    found = late.LateKeepingWindows(spark, f"{folder}/out", ("cell_id",), "1 hour", every=2)
+    for k in range(5):
+        table.filter(F.col("event_id") % 5 == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = queries.file_source(spark, f"{folder}/in", table.schema)
+        queries.await_all([queries.to_batches(
+            fixtures.with_speed(source), found.handle("main"), f"{folder}/checkpoint", every=None
+        )])
+    return found
+
+
+@query("r03_late_rows_stream", _GENERIC + _LATE_SQL + """
+SELECT event_id, event_ts, cell_id FROM judged WHERE late""")
+def r03_late(spark, d):
+    """The very rows the watermark shuts out."""
+    return _late_run(spark, d).late_rows().select("event_id", "event_ts", "cell_id")
+
+
+@query("r03_kept_and_late_stream", _GENERIC + _LATE_SQL + """
+SELECT count(*) AS input_rows, count(*) FILTER (NOT late) AS kept_rows, count(*) FILTER (late) AS late_rows
+FROM judged""")
+def r03_both(spark, d):
+    """Kept and late rows, which together are the input."""
+    found = _late_run(spark, d)
+    kept = found.windows(closed_only=False).agg(F.sum("trip_count")).scalar()
+    return found.late_rows().agg(F.count(F.lit(1)).alias("late_rows")).select(
+        (kept + F.col("late_rows")).alias("input_rows"), kept.alias("kept_rows"), "late_rows"
+    )
+
+
+@query("k08_hot_cell_stream", _GENERIC + """
+SELECT cell_id, count(*) AS row_count, count(DISTINCT event_id) AS events,
+  least(ceil(count(*) / 500.0)::BIGINT, 2) AS parts FROM speeds GROUP BY cell_id""")
+def k08_hot(spark, d):
+    """Files by cell, in parts of about 500 rows; ``parts`` says whether a cell was split (2: or more)."""
+    folder = scratch_dir(spark, "spread")
+    handle = queries.spread_handler(f"{folder}/data", ("cell_id",), rows_per_file=500)
+    speeds = fixtures.with_speed(table_stream(spark, d, "events"))
+    queries.await_all([queries.to_batches(speeds, handle, f"{folder}/checkpoint", every=None)])
+    stored = spark.read.parquet(f"{folder}/data").withColumn("file", F.input_file_name())
+    return stored.groupBy("cell_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("event_id").alias("events"),
+        F.least(F.countDistinct("file"), F.lit(2)).alias("parts"),
+    )
+
+
+@query("k07_console_stream", """
+SELECT true AS active, count(*) AS input_rows FROM events""")
+def k07(spark, d):
+    """Rows that went through the console sink."""
+    folder = scratch_dir(spark, "console")
+    totals = queries.watch_progress(spark)
+    stream = fixtures.with_speed(table_stream(spark, d, "events"))
+    running = queries.start(stream, queries.console(rows=1), f"{folder}/checkpoint", every=None)
+    queries.await_all([running])
+    summary = queries.progress_summary(running, totals)
+    spark.streams.removeListener(totals)
+    return spark.createDataFrame([(summary["active"], summary["input_rows"])], "active boolean, input_rows bigint")
+
+
+# ---- history as of a moment, and by months --------------------------------------------------
+
+_AS_OF_SQL = """
+, asked AS (SELECT DISTINCT cell_lat, cell_lon, hour, date_trunc('hour', event_ts) AS at FROM gps),
+newest AS (SELECT a.cell_lat, a.cell_lon, a.at, l.trip_count AS prev_trip_count,
+    l.avg_speed AS prev_avg_speed, l.congestion_label AS prev_congestion_label,
+    l.prev_trip_count AS prev_2h_trip_count, l.prev_avg_speed AS prev_2h_avg_speed
+  FROM asked a JOIN lagged l ON l.cell_lat = a.cell_lat AND l.cell_lon = a.cell_lon AND l.hour_bucket < a.at
+  QUALIFY row_number() OVER (PARTITION BY a.cell_lat, a.cell_lon, a.at ORDER BY l.hour_bucket DESC) = 1),
+history AS (SELECT a.cell_lat, a.cell_lon, a.at, avg(l.trip_count) AS historical_avg_trips,
+    sum(floor(l.avg_speed * 1e6::DOUBLE + 0.5::DOUBLE)::BIGINT)::DOUBLE / (count(*) * 1e6::DOUBLE)
+      AS historical_avg_speed
+  FROM asked a JOIN lagged l ON l.cell_lat = a.cell_lat AND l.cell_lon = a.cell_lon
+    AND l.hour = a.hour AND l.hour_bucket < a.at GROUP BY ALL)
+SELECT event_id, event_ts, cell_id, speed, g.hour, day_of_week, month(event_ts)::INT AS month,
+  is_weekend, is_rush_hour, is_night, g.cell_lat, g.cell_lon, is_manhattan AS is_manhattan_int,
+  coalesce(prev_trip_count, 10) AS prev_trip_count,
+  coalesce(prev_avg_speed, 15.0::DOUBLE) AS prev_avg_speed,
+  coalesce(prev_congestion_label, 1) AS prev_congestion_label,
+  coalesce(prev_2h_trip_count, 0) AS prev_2h_trip_count,
+  coalesce(prev_2h_avg_speed, 0) AS prev_2h_avg_speed,
+  coalesce(historical_avg_trips, 10.0::DOUBLE) AS historical_avg_trips,
+  coalesce(historical_avg_speed, 15.0::DOUBLE) AS historical_avg_speed
+FROM gps g
+  LEFT JOIN newest n ON n.cell_lat = g.cell_lat AND n.cell_lon = g.cell_lon AND n.at = date_trunc('hour', g.event_ts)
+  LEFT JOIN history h ON h.cell_lat = g.cell_lat AND h.cell_lon = g.cell_lon AND h.at = date_trunc('hour', g.event_ts)"""
+
+
+@query("j04_as_of_events", sql_from("lagged", _AS_OF_SQL, "gps"))
+def j04_as_of(spark, d):
+    """Events with what was known of their cell when their hour began."""
+    return enrich.enrich_as_of(views.gps(spark, d), views.labelled(spark, d))
+
+
+@query("j04_events_with_monthly_history", sql_from("lagged", _snapshot_sql(), "gps"))
+def j04_months(spark, d):
+    """The snapshot built up by months, the second of them twice."""
+    path = scratch_dir(spark, "months")
+    cells = views.labelled(spark, d)
+    for month in (2, 1, 3, 2):
+        history.add_months(cells.filter(F.col("month") == month), path)
+    stored = scratch_dir(spark, "snapshot")
+    history.snapshot(spark, path).write.parquet(stored)
+    return enrich.enrich_events(views.gps(spark, d), spark.read.parquet(stored))
+
+
+@query("w02_monthly_history", sql_from("cells", f"""
+SELECT cell_lat, cell_lon, hour, avg(trip_count) AS historical_avg_trips,
+  {sql_mean('avg_speed', 6)} AS historical_avg_speed FROM cells GROUP BY ALL"""))
+def w02_months(spark, d):
+    path = scratch_dir(spark, "months")
+    cells = views.labelled(spark, d)
+    for month in (1, 2, 3):
+        history.add_months(cells.filter(F.col("month") == month), path)
+    return history.hourly_means(spark, path)

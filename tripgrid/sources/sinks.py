@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,21 +54,19 @@ def readable_export(
 ) -> None:
     """Schema, statistics, a CSV sample and, unless ``full`` is off, a CSV copy of a table.
 
-    ``df`` is computed once and kept for the parts; a lost executor's share is computed again.
-    The sample is taken from as few partitions as hold it; a limit inside the plan would
-    make every task of a large table send its share. Only bounded parts become one file, the
-    full copy is written by all tasks.
+    The full copy is written first, by all tasks, and the other parts are derived from it, so the
+    table is computed once and nothing is kept on executors. Without it, statistics are one
+    aggregate and the sample is taken from as few partitions as hold it; a limit inside the plan
+    would make every task of a large table send its share. Only bounded parts become one file.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if full:
-            write_csv(kept, f"{folder}/full")
-        write_csv(quality.schema_table(df).coalesce(1), f"{folder}/schema")
-        write_csv(quality.describe_numeric(kept), f"{folder}/statistics")
-        sample = df.sparkSession.createDataFrame(kept.take(sample_rows), df.schema)
-        write_csv(sample.coalesce(1), f"{folder}/sample")
-    finally:
-        kept.unpersist()
+    spark, kept = df.sparkSession, df
+    if full:
+        write_csv(df, f"{folder}/full")
+        kept = spark.read.schema(df.schema).option("header", True).csv(f"{folder}/full")
+    write_csv(quality.schema_table(df).coalesce(1), f"{folder}/schema")
+    write_csv(quality.describe_numeric(kept), f"{folder}/statistics")
+    sample = spark.createDataFrame(kept.take(sample_rows), df.schema)
+    write_csv(sample.coalesce(1), f"{folder}/sample")
 
 
 def write_derived_tables(

@@ -340,7 +340,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, length: int = 204
 def read_documents(manifest: DataFrame) -> DataFrame:
     """Documents of the shards of a manifest: doc_id, global start, n_tokens, ids (uint32, little-endian)."""
     kind = dict(manifest.dtypes)["lead"]
-    tasks = manifest.select("path", "offset").repartition("path")
+    # a stated number of tasks is not merged: one for each shard, however small the manifest is
+    tasks = manifest.select("path", "offset").repartition(max(1, manifest.count()), "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

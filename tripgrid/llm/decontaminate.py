@@ -9,9 +9,10 @@ agrees in at least ``share`` of its places.
 Everything is DataFrame expressions. The benchmark's seeds are broadcast only when counted to be
 at most ``broadcast_rows``; a larger benchmark is joined by shuffle.
 
-Words are the runs between white space, lower-cased, without ASCII punctuation. Items of fewer
-words than a mask spans are matched by an unbroken mask of their own length; items below
-``shortest`` words are not searched.
+Words are the runs between white space, lower-cased, without ASCII punctuation. The masks depend on
+the length of the compared stretch and find every pattern of replaced words that the verification
+accepts: ``finds_all`` tries them all. An item of fewer than five words says nothing inside a
+longer text and flags a document that has its words and no others.
 
 Defined cases: null or empty text or item has no words and matches nothing; repeated documents are
 flagged alike; repeated items both count; empty tables flag nothing; other columns are ignored.
@@ -19,13 +20,31 @@ flagged alike; repeated items both count; empty tables flag nothing; other colum
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrid.llm.common import join_small, stored, words_of
 
-#: fixed masks: 1 selects a word, 0 ignores it
-MASKS = ("11101001011", "1101100111", "110010100111")
+# fixed masks by length of the stretch (the last also for all longer ones): 1 selects a word, 0 ignores it
+MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("11111", "111101", "111011", "110111", "101111"),
+    7: ("11111", "111101", "110111"),
+    8: ("111011", "110111"),
+    9: ("1111011", "1101111"),
+    10: ("111011", "1101011", "1110011"),
+    11: ("1101011", "1110011"),
+    12: ("11101011", "11010111", "1110010011"),
+    13: ("11110111", "1100101111", "11011001011"),
+}
+SHORTEST = min(MASKS)
+LONGEST = max(MASKS)
+NUMBERS = {m: k for k, m in enumerate(sorted({m for masks in MASKS.values() for m in masks}))}
+WHOLE = len(NUMBERS)
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 REACH = 24
 BLOCK = 8
@@ -36,16 +55,29 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words_of(plain), lambda w: F.xxhash64(w))
 
 
-def _seed(number: int, mask: str, h: Column, n: Column, i: Column) -> Column:
+def finds_all(masks: tuple[str, ...], length: int, replaced: int) -> bool:
+    """Whether some mask has a place in ``length`` words that avoids any ``replaced`` of them."""
+    places = [{at + k for k, c in enumerate(m) if c == "1"} for m in masks for at in range(length - len(m) + 1)]
+    return all(any(not p & set(gone) for p in places) for gone in combinations(range(length), replaced))
+
+
+def allowed(length: int, share: float) -> int:
+    """Words of a stretch that may differ."""
+    return length - math.ceil(share * length)
+
+
+def _seed(mask: str, h: Column, n: Column, i: Column) -> Column:
     """Hash of the selected words of the mask laid at word ``i``; null where it does not fit."""
     chosen = [F.get(h, i + k) for k, c in enumerate(mask) if c == "1"]
-    return F.when(i + len(mask) <= n, F.xxhash64(F.lit(number), *chosen))
+    return F.when(i + len(mask) <= n, F.xxhash64(F.lit(NUMBERS[mask]), *chosen))
 
 
-def _seeds(df: DataFrame, masks: list[str], keep: list[str]) -> DataFrame:
-    """One row per position and mask of a table with word hashes ``h``."""
+def _seeds(df: DataFrame, masks: list[str], whole: bool, keep: list[str]) -> DataFrame:
+    """One row per position and mask of a table with word hashes ``h``; with ``whole``, one for a short sequence too."""
     at = df.filter(F.size("h") > 0).select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("i"))
-    seeds = [_seed(k, m, F.col("h"), F.size("h"), F.col("i")) for k, m in enumerate(masks)]
+    seeds = [_seed(m, F.col("h"), F.size("h"), F.col("i")) for m in masks]
+    if whole:
+        seeds.append(F.when((F.size("h") < SHORTEST) & (F.col("i") == 0), F.xxhash64(F.lit(WHOLE), "h")))
     return at.select(*keep, "h", "i", F.explode(F.array(*seeds)).alias("seed")).filter(F.col("seed").isNotNull())
 
 
@@ -55,26 +87,33 @@ def overlaps(
     row: str,
     stretch: int = 13,
     share: float = 0.8,
-    shortest: int = 5,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """(row, item_id, position, matched): verified overlaps of documents with benchmark items.
 
     ``row`` names a column that tells documents apart; ``position`` is the document word where the
-    first compared place lies, ``matched`` the most agreeing words in a stretch.
+    first compared place lies, ``matched`` the most agreeing words in a stretch. A ``stretch`` and
+    ``share`` whose accepted patterns the masks do not all find are refused.
     """
-    span = max(map(len, MASKS))
-    items = stored(
-        benchmark.select("item_id", word_hashes(F.col("text")).alias("h")).filter(F.size("h") >= shortest), "items"
-    )
-    # at most span - shortest different lengths
-    short = items.select(F.size("h").alias("n")).filter(F.col("n") < span).distinct().collect()
-    masks = [*MASKS, *("1" * r["n"] for r in sorted(short))]
+    if stretch < LONGEST or any(not finds_all(m, n, allowed(n, share)) for n, m in MASKS.items()):
+        raise ValueError("the masks do not find everything that would be accepted")
+    if allowed(stretch, share) > allowed(LONGEST, share):
+        raise ValueError("the longest masks allow fewer replaced words than the stretch")
+    items = stored(benchmark.select("item_id", word_hashes(F.col("text")).alias("h")).filter(F.size("h") > 0), "items")
+    length = F.least(F.size("h"), F.lit(LONGEST))
+    # at most as many rows as there are lengths with masks of their own
+    lengths = sorted(r["n"] for r in items.select(length.alias("n")).distinct().collect())
+    masks = sorted({m for n in lengths for m in MASKS.get(n, ())})
+    whole = any(n < SHORTEST for n in lengths)
+    per_length = [
+        _seeds(items.filter(length == n), list(MASKS.get(n, ())), n < SHORTEST, ["item_id"]) for n in lengths
+    ] or [_seeds(items, list(MASKS[LONGEST]), False, ["item_id"])]
+    span = max(map(len, masks), default=SHORTEST)
     seeds = stored(
-        _seeds(items, masks, ["item_id"]).select("item_id", F.size("h").alias("size"), F.col("i").alias("p"), "seed"), "seeds"
+        reduce(DataFrame.unionByName, per_length).select("item_id", F.size("h").alias("size"), F.col("i").alias("p"), "seed"), "seeds"
     )
     hashed = docs.select(F.col(row), word_hashes(F.col("text")).alias("h"))
-    ours = _seeds(hashed, masks, [row])
+    ours = _seeds(hashed, masks or list(MASKS[LONGEST]), whole, [row])
     hits = join_small(
         ours.withColumnRenamed("seed", "ours"), seeds, F.col("ours") == F.col("seed"), "inner", broadcast_rows
     )

@@ -67,32 +67,41 @@ def statistics(text):
     return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit)
 
 
-def robust_distances(values, floors, share, steps, c_core, c_edge, edge, bins=200):
+def robust_distances(values, floors, share, settled, c_core, c_edge, edge, bins=200):
     """Distances by the minimum covariance determinant over one group; rows are vectors in thousandths."""
     x = np.asarray(values, np.float64)
+    floors = np.asarray(floors)
 
     def median(v):
         s = np.sort(v, axis=0)
         return s[(len(s) + 1) // 2 - 1]
 
     centre = median(x)
-    mad = median(np.abs(x - centre)) / 1000
-    mean, cov = centre / 1000, np.diag((1.4826 * mad) ** 2 + np.asarray(floors) ** 2)
-    x = x / 1000
+    least = np.sqrt((1.4826 * median(np.abs(x - centre)) / 1000) ** 2 + floors**2)
+    near = (np.abs(x - centre) <= 2000 * least).all(axis=1)
+    centre, x = centre / 1000, x / 1000
 
-    def distances():
+    def distances(mean, cov):
         z = np.linalg.solve(np.linalg.cholesky(cov), (x - mean).T)
         return (z * z).sum(axis=0)
 
     def estimate(core, inflate):
         m = x[core].mean(axis=0)
         s = (x[core].T @ x[core] / core.sum() - np.outer(m, m)) * inflate
-        return m, s + np.diag(np.asarray(floors) ** 2)
-
-    for _ in range(steps):
-        b = np.floor(np.log1p(distances()) * bins)
-        order = np.sort(b)
-        last = order[int(np.ceil(share * len(x))) - 1]
-        mean, cov = estimate(b <= last, c_core)
-    mean, cov = estimate(distances() <= edge, c_edge)
-    return distances()
+        return m, s + np.diag(floors**2)
+
+    def concentrate(found):
+        b = np.floor(np.log1p(distances(*found)) * bins)
+        return estimate(b <= np.sort(b)[int(np.ceil(share * len(x))) - 1], c_core)
+
+    def size(found):
+        return np.linalg.slogdet(found[1])[1]
+
+    ends = []
+    for start in ((centre, np.diag(least**2)), estimate(np.ones(len(x), bool), 1.0), estimate(near, 1.0)):
+        now = concentrate(start)
+        while size(then := concentrate(now)) < size(now) - settled:
+            now = then
+        ends.append(now)
+    best = min(ends, key=size)
+    return distances(*estimate(distances(*best) <= edge, c_edge))

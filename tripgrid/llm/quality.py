@@ -1,16 +1,21 @@
 """Quality rules: fixed base rules, then robust multivariate outliers per language and source.
 
 Everything here is DataFrame expressions. A document becomes a vector of transformed statistics;
-for each (lang, source) the minimum covariance determinant estimate (deterministic start from
-medians and median deviations, then concentration steps on the closest three quarters) gives a
-centre and a scatter, and documents beyond the cutoff in Mahalanobis distance are rejected.
+for each (lang, source) the minimum covariance determinant estimate gives a centre and a scatter,
+and documents beyond the cutoff in Mahalanobis distance are rejected. The estimate has three
+deterministic starts: medians and median deviations, the moments of all documents, and those of
+documents near the medians in every component. From each of them concentration steps on the
+closest three quarters go on until the determinant falls no more, and the least one counts.
+
+A group of fewer than ``min_group`` usable documents (those that pass the base rules) is judged by
+the estimate over its language, and a language of fewer by that over all documents.
 
 Sums are taken over values rounded to thousandths and held as integers, so that neither the
 order of rows nor the number of partitions changes a verdict.
 
-Defined cases: null text counts as empty; null lang or source form groups of their own; groups
-of fewer than ``min_group`` usable documents reject nothing; repeated rows count as often as they
-occur; an empty table gives an empty result; other columns are ignored.
+Defined cases: null text counts as empty; null lang or source form groups of their own; where all
+documents together have fewer than ``2 * D`` usable ones, nothing is rejected, as no scatter can be
+told from so few; repeated rows count as often as they occur; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +32,8 @@ from tripgrid.llm.common import join_small, stored, words_of
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 8
-#: vector components and, as long as no core varies more, the least deviation of each
+#: vector components and the deviation whose square is added to each one's variance, so that a
+#: group whose documents hardly differ does not reject the next one that does
 FEATURES = {"f_words": 0.5, "f_length": 0.1, "f_symbols": 0.3, "f_lines": 0.7, "f_repeat": 1.0}
 D = len(FEATURES)
 SCALE = 1000
@@ -131,12 +137,12 @@ def chi2_quantile(p: float, odd: int) -> float:
     return (low + high) / 2
 
 
-def _estimates(sums: DataFrame, inflate: float) -> DataFrame:
-    """Means and the Cholesky factor of the scatter for each group, from integer sums."""
+def _estimates(sums: DataFrame, inflate: float, keys: list[str]) -> DataFrame:
+    """Means, the Cholesky factor of the scatter and its log determinant for each group, from integer sums."""
     names = list(FEATURES)
     n = F.col("n").cast("double")
     mean = [(F.col(f"s_{a}") / n / SCALE).alias(f"m_{a}") for a in names]
-    df = sums.select(*GROUP, "n", *mean, *[f"q_{i}_{j}" for i in range(D) for j in range(i + 1)])
+    df = sums.select(*keys, *mean, "n", *[f"q_{i}_{j}" for i in range(D) for j in range(i + 1)])
     for i in range(D):
         for j in range(i + 1):
             a, b = names[i], names[j]
@@ -146,7 +152,8 @@ def _estimates(sums: DataFrame, inflate: float) -> DataFrame:
                 cov = F.greatest(cov, F.lit(0.0)) + FEATURES[a] ** 2
             rest = reduce(lambda s, k: s - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}"), range(j), cov)
             df = df.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l_{j}_{j}"))
-    return df.drop(*[f"q_{i}_{j}" for i in range(D) for j in range(i + 1)])
+    determinant = reduce(lambda s, i: s + 2 * F.log(F.col(f"l_{i}_{i}")), range(D), F.lit(0.0))
+    return df.withColumn("logdet", determinant).drop("n", *[f"q_{i}_{j}" for i in range(D) for j in range(i + 1)])
 
 
 def _distance(df: DataFrame) -> DataFrame:
@@ -158,11 +165,9 @@ def _distance(df: DataFrame) -> DataFrame:
     return df.withColumn("d2", reduce(lambda s, i: s + F.col(f"z_{i}") ** 2, range(D), F.lit(0.0)))
 
 
-def _with(df: DataFrame, params: DataFrame, groups: int) -> DataFrame:
-    """Rows with the parameters of their group; null keys meet null keys."""
-    right = params.withColumnsRenamed({c: f"g_{c}" for c in GROUP})
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in GROUP])
-    return join_small(df, right, on, "left", groups).drop(*[f"g_{c}" for c in GROUP])
+def _with(df: DataFrame, params: DataFrame, groups: int, how: str = "inner") -> DataFrame:
+    """Rows with the parameters of their group ``g``."""
+    return join_small(df, params.withColumnRenamed("g", "_g"), F.col("g") == F.col("_g"), how, groups).drop("_g")
 
 
 def _moments() -> list[Column]:
@@ -176,66 +181,110 @@ def _moments() -> list[Column]:
 
 def _medians(df: DataFrame) -> DataFrame:
     """Median of every component for each group, from counts per distinct integer value."""
-    long = df.select(*GROUP, F.posexplode(F.array(*FEATURES)).alias("k", "v"))
-    counts = long.groupBy(*GROUP, "k", "v").count()
-    w = Window.partitionBy(*GROUP, "k")
+    long = df.select("g", F.posexplode(F.array(*FEATURES)).alias("k", "v"))
+    counts = long.groupBy("g", "k", "v").count()
+    w = Window.partitionBy("g", "k")
     ranked = counts.select(
-        *GROUP, "k", "v", F.sum("count").over(w.orderBy("v")).alias("upto"), F.sum("count").over(w).alias("all")
+        "g", "k", "v", F.sum("count").over(w.orderBy("v")).alias("upto"), F.sum("count").over(w).alias("all")
     )
     return (
         ranked.filter(2 * F.col("upto") >= F.col("all"))
-        .groupBy(*GROUP)
+        .groupBy("g")
         .agg(*[F.min(F.when(F.col("k") == i, F.col("v"))).alias(f"c_{a}") for i, a in enumerate(FEATURES)])
     )
 
 
-def _start(usable: DataFrame, groups: int) -> DataFrame:
-    """Diagonal first estimate: medians and median absolute deviations."""
-    centre = stored(_medians(usable), "mcd-centre")
-    moved = _with(usable, centre, groups)
-    away = moved.select(*GROUP, *[F.abs(F.col(a) - F.col(f"c_{a}")).alias(a) for a in FEATURES])
-    mad = _medians(away).withColumnsRenamed({f"c_{a}": f"d_{a}" for a in FEATURES})
-    both = _with(mad, centre, groups)
-    return both.select(
-        *GROUP,
+def _starts(members: DataFrame, groups: int) -> DataFrame:
+    """First estimates of every group: diagonal from medians, all moments, moments near the medians."""
+    centre = stored(_medians(members), "mcd-centre")
+    moved = _with(members, centre, groups)
+    away = moved.select("g", *[F.abs(F.col(a) - F.col(f"c_{a}")).alias(a) for a in FEATURES])
+    spread = stored(_medians(away).withColumnsRenamed({f"c_{a}": f"d_{a}" for a in FEATURES}), "mcd-spread")
+    both = stored(_with(spread, centre, groups), "mcd-medians")
+    least = {a: F.sqrt((1.4826 * F.col(f"d_{a}") / SCALE) ** 2 + FEATURES[a] ** 2) for a in FEATURES}
+    diagonal = both.select(
+        "g", F.lit(0).alias("start"),
         *[(F.col(f"c_{a}") / SCALE).alias(f"m_{a}") for a in FEATURES],
-        *[
-            (
-                F.sqrt((1.4826 * F.col(f"d_{a}") / SCALE) ** 2 + FEATURES[a] ** 2) if i == j else F.lit(0.0)
-            ).alias(f"l_{i}_{j}")
-            for i, a in enumerate(FEATURES)
-            for j in range(i + 1)
-        ],
+        *[(least[a] if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i, a in enumerate(FEATURES) for j in range(i + 1)],
+        F.lit(0.0).alias("logdet"),
+    )
+    near = reduce(lambda x, y: x & y, [F.abs(F.col(a) - F.col(f"c_{a}")) <= 2 * SCALE * least[a] for a in FEATURES])
+    # one pass: every document counts in the second start, those near the medians in the third one too
+    met = _with(members, both, groups).select(
+        "g", *FEATURES, F.explode(F.when(near, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("start")
     )
+    return diagonal.unionByName(_estimates(met.groupBy("g", "start").agg(*_moments()), 1.0, ["g", "start"]))
 
 
-def _concentrate(usable: DataFrame, params: DataFrame, share: float, inflate: float, groups: int) -> DataFrame:
+def _concentrate(members: DataFrame, params: DataFrame, share: float, inflate: float, groups: int) -> DataFrame:
     """One concentration step: estimates over the closest ``share`` of every group.
 
     Distances are counted in bins of half a per cent, and whole bins are taken until the share is
     reached; the sums of a bin are made in the same pass.
     """
-    d = _distance(_with(usable, params, groups))
-    binned = d.withColumn("bin", F.floor(F.log1p("d2") * 200)).groupBy(*GROUP, "bin").agg(*_moments())
-    w = Window.partitionBy(*GROUP)
+    keys = ["g", "start"]
+    d = _distance(_with(members, params, groups))
+    binned = d.withColumn("bin", F.floor(F.log1p("d2") * 200)).groupBy(*keys, "bin").agg(*_moments())
+    w = Window.partitionBy(*keys)
     ranked = binned.withColumns(
         {"before": F.sum("n").over(w.orderBy("bin")) - F.col("n"), "all": F.sum("n").over(w)}
     )
     core = ranked.filter(F.col("before") < F.ceil(share * F.col("all")))
-    sums = core.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in binned.columns if c not in (*GROUP, "bin")])
-    return _estimates(sums, inflate)
+    sums = core.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in binned.columns if c not in (*keys, "bin")])
+    return _estimates(sums, inflate, keys)
 
 
-def _reweighted(usable: DataFrame, params: DataFrame, within: float, inflate: float, groups: int) -> DataFrame:
-    d = _distance(_with(usable, params, groups)).filter(F.col("d2") <= within)
-    return _estimates(d.groupBy(*GROUP).agg(*_moments()), inflate)
+def _least_determinant(members: DataFrame, share: float, settled: float, groups: int) -> DataFrame:
+    """Per group the estimate of least determinant over all starts, each concentrated until it settles.
+
+    A start that falls by no more than ``settled`` in the logarithm is finished; the others go on.
+    """
+    core = chi2_quantile(share, D)
+    inflate = share / chi2_cdf(core, D + 2)
+    keys = ["g", "start"]
+    now = stored(_concentrate(members, stored(_starts(members, groups), "mcd-starts"), share, inflate, groups), "mcd-step")
+    finished = []
+    while True:
+        then = _concentrate(members, now, share, inflate, groups)
+        before = now.select(*keys, F.col("logdet").alias("before"))
+        lower = then.join(before, keys).filter(F.col("logdet") < F.col("before") - settled).drop("before")
+        lower = stored(lower, "mcd-step")
+        finished.append(now.join(lower.select(*keys), keys, "left_anti"))
+        if lower.isEmpty():
+            break
+        now = lower
+    every = reduce(DataFrame.unionByName, finished)
+    rest = [c for c in every.columns if c not in ("g", "logdet", "start")]
+    least = every.groupBy("g").agg(F.min(F.struct("logdet", "start", *rest)).alias("best"))
+    return stored(least.select("g", *[F.col(f"best.{c}").alias(c) for c in rest]), "mcd-best")
+
+
+def _grouped(table: DataFrame, min_group: int, groups: int) -> tuple[DataFrame, DataFrame, int]:
+    """Documents with the group ``g`` that judges them, the members of all groups, and the usable documents."""
+    usable = table.filter(~F.col("base_failed"))
+    per_source = usable.groupBy("by_source", "by_lang").agg(F.count(F.lit(1)).alias("n_source"))
+    per_source = stored(per_source, "mcd-sizes")
+    per_lang = per_source.groupBy(F.col("by_lang").alias("_lang")).agg(
+        F.sum("n_source").alias("n_lang"), F.max(F.col("n_source") < min_group).alias("needed")
+    )
+    sized = join_small(per_source, per_lang, F.col("by_lang") == F.col("_lang"), "inner", groups).drop("_lang", "by_lang")
+    sized = stored(sized.withColumnRenamed("by_source", "_source"), "mcd-groups")
+    total, pooled = sized.agg(F.coalesce(F.sum("n_source"), F.lit(0)), F.coalesce(F.max(F.col("n_lang") < min_group), F.lit(False))).first()
+    met = join_small(table, sized, F.col("by_source") == F.col("_source"), "left", groups)
+    large, spoken = F.col("n_source") >= min_group, F.col("n_lang") >= min_group
+    judged_by = F.when(large, F.col("by_source")).when(spoken, F.col("by_lang")).otherwise(F.lit("all"))
+    memberships = [F.when(large, F.col("by_source")), F.when(F.col("needed") & spoken, F.col("by_lang"))]
+    if pooled:
+        memberships.append(F.lit("all"))
+    members = met.filter(~F.col("base_failed")).select(*FEATURES, F.explode(F.array_compact(F.array(*memberships))).alias("g"))
+    return met.withColumn("g", judged_by), stored(members, "mcd-members"), total
 
 
 def score_quality(
     docs: DataFrame,
     keep: list[str],
     share: float = 0.75,
-    steps: int = 3,
+    settled: float = 0.001,
     cutoff: float = 0.9999,
     min_group: int = 50,
     broadcast_groups: int = 20_000,
@@ -243,31 +292,28 @@ def score_quality(
     """``keep`` and, for every document, statistics, ``base_failed``, ``distance2`` and ``kept``.
 
     ``docs`` needs text, lang and source; ``keep`` names further columns to hand through.
-    ``distance2`` is null where no verdict is formed (base rules failed, or a small group).
+    ``distance2`` is null where no verdict is formed (base rules failed, or hardly any documents).
     """
     carried = list(dict.fromkeys([*keep, *GROUP]))
-    table = stored(
-        statistics(docs, carried).withColumn("base_failed", base_failed()).withColumns(vector()), "quality"
-    )
-    usable = table.filter(~F.col("base_failed")).select(*GROUP, *FEATURES)
-    core = chi2_quantile(share, D)
-    params = stored(_start(usable, broadcast_groups), "mcd-start")
-    for _ in range(steps):
-        step = _concentrate(usable, params, share, share / chi2_cdf(core, D + 2), broadcast_groups)
-        params = stored(step, "mcd-step")
+    groups = {
+        "by_source": F.concat(F.lit("source"), F.to_json(F.struct(*GROUP))),
+        "by_lang": F.concat(F.lit("lang"), F.to_json(F.struct("lang"))),
+    }
+    counted = statistics(docs, carried).withColumn("base_failed", base_failed()).withColumns(vector())
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *FEATURES]
+    row = F.struct(*[F.col(c) for c in keep]).alias("row")
+    table = stored(counted.select(row, *names, *[g.alias(n) for n, g in groups.items()]), "quality")
+    grouped, members, total = _grouped(table, min_group, broadcast_groups)
     edge = chi2_quantile(0.975, D)
-    params = stored(
-        _reweighted(usable, params, edge, 0.975 / chi2_cdf(edge, D + 2), broadcast_groups), "mcd-final"
-    )
-    judged = _distance(_with(table, params.filter(F.col("n") >= min_group), broadcast_groups))
+    judged = grouped.withColumn("d2", F.lit(None).cast("double"))
+    if total >= 2 * D:
+        best = _least_determinant(members, share, settled, broadcast_groups)
+        within = _distance(_with(members, best, broadcast_groups)).filter(F.col("d2") <= edge)
+        final = stored(_estimates(within.groupBy("g").agg(*_moments()), 0.975 / chi2_cdf(edge, D + 2), ["g"]), "mcd-final")
+        judged = _distance(_with(grouped, final, broadcast_groups, "left"))
     return judged.select(
-        *keep,
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
+        "row.*",
+        *names[:6],
         F.when(~F.col("base_failed"), F.round("d2", 6)).alias("distance2"),
         (~F.col("base_failed") & F.coalesce(F.col("d2") <= chi2_quantile(cutoff, D), F.lit(True))).alias("kept"),
     )

@@ -521,7 +521,7 @@ def test_statistics_and_distances(spark):
             vectors[i] = np.floor(np.array(v) * 1000 + 0.5)
     core, edge = quality.chi2_quantile(0.75, 5), quality.chi2_quantile(0.975, 5)
     want = brute.robust_distances(
-        [v for i, v in vectors.items() if i < 2000], list(quality.FEATURES.values()), 0.75, 0.001,
+        [v for i, v in vectors.items() if i < 2000], list(quality.FEATURES.values()), 0.75, 0.01,
         0.75 / quality.chi2_cdf(core, 7), 0.975 / quality.chi2_cdf(edge, 7), edge,
     )
     for i, d in zip([i for i in vectors if i < 2000], want, strict=True):

@@ -23,11 +23,12 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tripgrid.llm.common import join_small, stored, words_of
+from tripgrid.session import scratch_dir
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -165,9 +166,10 @@ def _distance(df: DataFrame) -> DataFrame:
     return df.withColumn("d2", reduce(lambda s, i: s + F.col(f"z_{i}") ** 2, range(D), F.lit(0.0)))
 
 
-def _with(df: DataFrame, params: DataFrame, groups: int, how: str = "inner") -> DataFrame:
-    """Rows with the parameters of their group ``g``."""
-    return join_small(df, params.withColumnRenamed("g", "_g"), F.col("g") == F.col("_g"), how, groups).drop("_g")
+def _with(df: DataFrame, params: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """Rows with the parameters of their group ``g``, broadcast where the groups are counted to be ``few``."""
+    right = params.withColumnRenamed("g", "_g")
+    return df.join(F.broadcast(right) if few else right, F.col("g") == F.col("_g"), how).drop("_g")
 
 
 def _moments() -> list[Column]:
@@ -194,13 +196,13 @@ def _medians(df: DataFrame) -> DataFrame:
     )
 
 
-def _starts(members: DataFrame, groups: int) -> DataFrame:
+def _starts(members: DataFrame, few: bool) -> DataFrame:
     """First estimates of every group: diagonal from medians, all moments, moments near the medians."""
     centre = stored(_medians(members), "mcd-centre")
-    moved = _with(members, centre, groups)
+    moved = _with(members, centre, few)
     away = moved.select("g", *[F.abs(F.col(a) - F.col(f"c_{a}")).alias(a) for a in FEATURES])
-    spread = stored(_medians(away).withColumnsRenamed({f"c_{a}": f"d_{a}" for a in FEATURES}), "mcd-spread")
-    both = stored(_with(spread, centre, groups), "mcd-medians")
+    spread = _medians(away).withColumnsRenamed({f"c_{a}": f"d_{a}" for a in FEATURES})
+    both = stored(_with(spread, centre, few), "mcd-medians")
     least = {a: F.sqrt((1.4826 * F.col(f"d_{a}") / SCALE) ** 2 + FEATURES[a] ** 2) for a in FEATURES}
     diagonal = both.select(
         "g", F.lit(0).alias("start"),
@@ -210,20 +212,20 @@ def _starts(members: DataFrame, groups: int) -> DataFrame:
     )
     near = reduce(lambda x, y: x & y, [F.abs(F.col(a) - F.col(f"c_{a}")) <= 2 * SCALE * least[a] for a in FEATURES])
     # one pass: every document counts in the second start, those near the medians in the third one too
-    met = _with(members, both, groups).select(
+    met = _with(members, both, few).select(
         "g", *FEATURES, F.explode(F.when(near, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("start")
     )
     return diagonal.unionByName(_estimates(met.groupBy("g", "start").agg(*_moments()), 1.0, ["g", "start"]))
 
 
-def _concentrate(members: DataFrame, params: DataFrame, share: float, inflate: float, groups: int) -> DataFrame:
+def _concentrate(members: DataFrame, params: DataFrame, share: float, inflate: float, few: bool) -> DataFrame:
     """One concentration step: estimates over the closest ``share`` of every group.
 
     Distances are counted in bins of half a per cent, and whole bins are taken until the share is
     reached; the sums of a bin are made in the same pass.
     """
     keys = ["g", "start"]
-    d = _distance(_with(members, params, groups))
+    d = _distance(_with(members, params, few))
     binned = d.withColumn("bin", F.floor(F.log1p("d2") * 200)).groupBy(*keys, "bin").agg(*_moments())
     w = Window.partitionBy(*keys)
     ranked = binned.withColumns(
@@ -234,33 +236,36 @@ def _concentrate(members: DataFrame, params: DataFrame, share: float, inflate: f
     return _estimates(sums, inflate, keys)
 
 
-def _least_determinant(members: DataFrame, share: float, settled: float, groups: int) -> DataFrame:
+def _least_determinant(members: DataFrame, share: float, settled: float, few: bool) -> DataFrame:
     """Per group the estimate of least determinant over all starts, each concentrated until it settles.
 
-    A start that falls by no more than ``settled`` in the logarithm is finished; the others go on.
+    A start that falls by no more than ``settled`` in the logarithm stays as it is; the others go on.
     """
     core = chi2_quantile(share, D)
     inflate = share / chi2_cdf(core, D + 2)
-    keys = ["g", "start"]
-    now = stored(_concentrate(members, stored(_starts(members, groups), "mcd-starts"), share, inflate, groups), "mcd-step")
-    finished = []
+    spark = members.sparkSession
+    # no start is the estimate of a core, so every first step counts as a fall
+    state = stored(_starts(members, few).withColumns({"logdet": F.lit(math.inf), "moving": F.lit(True)}), "mcd-starts")
+    rest = [c for c in state.columns if c not in ("g", "start", "moving")]
     while True:
-        then = _concentrate(members, now, share, inflate, groups)
-        before = now.select(*keys, F.col("logdet").alias("before"))
-        lower = then.join(before, keys).filter(F.col("logdet") < F.col("before") - settled).drop("before")
-        lower = stored(lower, "mcd-step")
-        finished.append(now.join(lower.select(*keys), keys, "left_anti"))
-        if lower.isEmpty():
+        then = _concentrate(members, state.filter("moving").drop("moving", "logdet"), share, inflate, few)
+        then = then.withColumnsRenamed({c: f"t_{c}" for c in then.columns})
+        pair = state.join(then, (F.col("g") == F.col("t_g")) & (F.col("start") == F.col("t_start")), "left")
+        falls = F.coalesce(F.col("t_logdet") < F.col("logdet") - settled, F.lit(False))
+        now = pair.select("g", "start", *[F.when(falls, F.col(f"t_{c}")).otherwise(F.col(c)).alias(c) for c in rest], falls.alias("moving"))
+        seen, path = Observation(), scratch_dir(spark, "mcd-step")
+        now.observe(seen, F.count_if("moving").alias("n")).write.parquet(path)
+        state = spark.read.schema(now.schema).parquet(path)
+        if not seen.get["n"]:
             break
-        now = lower
-    every = reduce(DataFrame.unionByName, finished)
-    rest = [c for c in every.columns if c not in ("g", "logdet", "start")]
-    least = every.groupBy("g").agg(F.min(F.struct("logdet", "start", *rest)).alias("best"))
-    return stored(least.select("g", *[F.col(f"best.{c}").alias(c) for c in rest]), "mcd-best")
+    others = [c for c in rest if c != "logdet"]
+    least = state.groupBy("g").agg(F.min(F.struct("logdet", "start", *others)).alias("best"))
+    return least.select("g", *[F.col(f"best.{c}").alias(c) for c in others])
 
 
-def _grouped(table: DataFrame, min_group: int, groups: int) -> tuple[DataFrame, DataFrame, int]:
-    """Documents with the group ``g`` that judges them, the members of all groups, and the usable documents."""
+def _grouped(table: DataFrame, min_group: int, groups: int) -> tuple[DataFrame, DataFrame, int, bool]:
+    """Documents with the group ``g`` that judges them, the members of all groups, how many documents are usable,
+    and whether there are at most ``groups`` groups."""
     usable = table.filter(~F.col("base_failed"))
     per_source = usable.groupBy("by_source", "by_lang").agg(F.count(F.lit(1)).alias("n_source"))
     per_source = stored(per_source, "mcd-sizes")
@@ -269,22 +274,25 @@ def _grouped(table: DataFrame, min_group: int, groups: int) -> tuple[DataFrame,
     )
     sized = join_small(per_source, per_lang, F.col("by_lang") == F.col("_lang"), "inner", groups).drop("_lang", "by_lang")
     sized = stored(sized.withColumnRenamed("by_source", "_source"), "mcd-groups")
-    total, pooled = sized.agg(F.coalesce(F.sum("n_source"), F.lit(0)), F.coalesce(F.max(F.col("n_lang") < min_group), F.lit(False))).first()
-    met = join_small(table, sized, F.col("by_source") == F.col("_source"), "left", groups)
+    total, pooled, n = sized.agg(
+        F.coalesce(F.sum("n_source"), F.lit(0)), F.coalesce(F.max(F.col("n_lang") < min_group), F.lit(False)), F.count(F.lit(1))
+    ).first()
+    few = 2 * n + 1 <= groups  # every source's group, its language's and the one of all
+    met = table.join(F.broadcast(sized) if few else sized, F.col("by_source") == F.col("_source"), "left")
     large, spoken = F.col("n_source") >= min_group, F.col("n_lang") >= min_group
     judged_by = F.when(large, F.col("by_source")).when(spoken, F.col("by_lang")).otherwise(F.lit("all"))
     memberships = [F.when(large, F.col("by_source")), F.when(F.col("needed") & spoken, F.col("by_lang"))]
     if pooled:
         memberships.append(F.lit("all"))
     members = met.filter(~F.col("base_failed")).select(*FEATURES, F.explode(F.array_compact(F.array(*memberships))).alias("g"))
-    return met.withColumn("g", judged_by), stored(members, "mcd-members"), total
+    return met.withColumn("g", judged_by), stored(members, "mcd-members"), total, few
 
 
 def score_quality(
     docs: DataFrame,
     keep: list[str],
     share: float = 0.75,
-    settled: float = 0.001,
+    settled: float = 0.01,
     cutoff: float = 0.9999,
     min_group: int = 50,
     broadcast_groups: int = 20_000,
@@ -303,14 +311,14 @@ def score_quality(
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *FEATURES]
     row = F.struct(*[F.col(c) for c in keep]).alias("row")
     table = stored(counted.select(row, *names, *[g.alias(n) for n, g in groups.items()]), "quality")
-    grouped, members, total = _grouped(table, min_group, broadcast_groups)
+    grouped, members, total, few = _grouped(table, min_group, broadcast_groups)
     edge = chi2_quantile(0.975, D)
     judged = grouped.withColumn("d2", F.lit(None).cast("double"))
     if total >= 2 * D:
-        best = _least_determinant(members, share, settled, broadcast_groups)
-        within = _distance(_with(members, best, broadcast_groups)).filter(F.col("d2") <= edge)
+        best = _least_determinant(members, share, settled, few)
+        within = _distance(_with(members, best, few)).filter(F.col("d2") <= edge)
         final = stored(_estimates(within.groupBy("g").agg(*_moments()), 0.975 / chi2_cdf(edge, D + 2), ["g"]), "mcd-final")
-        judged = _distance(_with(grouped, final, broadcast_groups, "left"))
+        judged = _distance(_with(grouped, final, few, "left"))
     return judged.select(
         "row.*",
         *names[:6],

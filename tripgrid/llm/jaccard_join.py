@@ -24,7 +24,9 @@ sets are one point, found by a digest. Points are spread over regions and region
    blocks, and pairs of blocks are joined so.
 
 Each task emits the links that connect its points and not all links among them, so a group of
-near copies costs its size and not its square; components are the same.
+near copies costs its size and not its square; components are the same. With ``every_link`` a task
+measures all pairs of different sets that share a shingle and emits each link; regions too large
+for a task are then cut into blocks at once, as a ball around a pivot says nothing of its pairs.
 
 Defined cases: null text and text without words have an empty set, linked with nothing; fewer than
 five words make one shingle; equal rows are linked (unless empty); rows with null id take part, and
@@ -249,7 +251,27 @@ def join_leaf(ids: list[bytes], sets: list[np.ndarray], balls: list[bytes | None
     return links
 
 
-def _leaves(rows: DataFrame, percent: int) -> DataFrame:
+def every_pair(sets: list[np.ndarray], percent: int) -> list[tuple[int, int, float]]:
+    """All links (i, j, similarity), i < j; each set is counted against those that share a shingle."""
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, codes, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    stop = np.cumsum(df)
+    holders = owner[np.argsort(codes, kind="stable")]
+    at = np.concatenate(([0], np.cumsum(size)))
+    links = []
+    for i in range(len(sets)):
+        mine = codes[at[i] : at[i + 1]]
+        spans = df[mine]
+        where = np.repeat(stop[mine] - spans - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
+        both = np.bincount(holders[where], minlength=len(sets))
+        union = size[i] + size - both
+        found = np.flatnonzero(100 * both >= percent * union)
+        links += [(i, j, both[j] / union[j]) for j in found[found > i].tolist()]
+    return links
+
+
+def _leaves(rows: DataFrame, percent: int, every_link: bool = False) -> DataFrame:
     """Links of all regions (region, left, right), each joined in one task: (a, b, similarity, root)."""
 
     words = Words()
@@ -257,7 +279,7 @@ def _leaves(rows: DataFrame, percent: int) -> DataFrame:
     def join(group: list[tuple]) -> Iterator[pa.RecordBatch]:
         ids = [g[0] for g in group]
         sets = [x for k in range(0, len(group), TEXTS_AT_ONCE) for x in shingle_sets(words, [g[1] for g in group[k : k + TEXTS_AT_ONCE]])]
-        links = join_leaf(ids, sets, [g[2] for g in group], percent)
+        links = every_pair(sets, percent) if every_link else join_leaf(ids, sets, [g[2] for g in group], percent)
         if links:
             parent = list(range(len(ids)))
 
@@ -268,7 +290,8 @@ def _leaves(rows: DataFrame, percent: int) -> DataFrame:
 
             for i, j, _ in links:
                 a, b = sorted((find(i), find(j)), key=lambda k: ids[k])
-                parent[b] = a
+                if a != b:
+                    parent[b] = a
             yield pa.RecordBatch.from_pydict(
                 {
                     "a": pa.array([ids[i] for i, _, _ in links], pa.binary()),
@@ -369,15 +392,15 @@ def _merged(members: DataFrame, leaf_shingles: int, leaf_points: int) -> DataFra
 
 def _region_links(
     members: DataFrame, rows_of: Callable[[DataFrame], DataFrame], percent: int,
-    leaf_shingles: int, leaf_points: int, levels: int,
+    leaf_shingles: int, leaf_points: int, levels: int, every_link: bool = False,
 ) -> DataFrame:
     """Links of all regions; ``members`` are (region, half, n), a point in several regions."""
     zero = F.lit(0)
     one_task, none = {"left": zero, "right": zero}, F.lit(None).cast("binary")
     sizes = _sizes(members, leaf_shingles, leaf_points)
     fits = members.join(sizes.filter("blocks = 1 AND points > 1"), "region", "left_semi")
-    parts = [_leaves(rows_of(fits.select("region", "half")).withColumns({**one_task, "ball": none}), percent)]
-    level, rows = 0, None
+    parts = [_leaves(rows_of(fits.select("region", "half")).withColumns({**one_task, "ball": none}), percent, every_link)]
+    level, rows = levels if every_link else 0, None
     while not (hot := sizes.filter("blocks > 1").select("region", "blocks")).isEmpty():
         if rows is None:
             large = members.select("region", "half").join(hot, "region", "left_semi")
@@ -388,7 +411,7 @@ def _region_links(
             other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
             pairs = large.withColumn("block", block).withColumn("other", other)
             parts.append(
-                _leaves(pairs.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")}), percent)
+                _leaves(pairs.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")}), percent, every_link)
             )
             break
         links, inner = _measure(large.select("region", "set_id", "n", "text", "ball"), percent)
@@ -415,12 +438,14 @@ def near_duplicates(
     leaf_points: int = LEAF_POINTS,
     levels: int = LEVELS,
     broadcast_rows: int = BROADCAST_ROWS,
+    every_link: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Memberships and links.
 
     Memberships: one row per document with ``row`` (struct of ``keep``), ``k1`` and ``k2`` (hashes
     of row and text), ``n_shingles``, ``set_id`` and ``label`` (equal for connected documents).
-    Links: (a, b, similarity) between set ids, enough to connect every component.
+    Links: (a, b, similarity) between set ids, enough to connect every component; with
+    ``every_link`` each link between different sets, once, ``a`` being the smaller id.
     """
     whole = docs.select(F.struct(*keep).alias("row"), "text")
     keyed = whole.withColumns(_keys(F.col("row")))
@@ -457,7 +482,9 @@ def near_duplicates(
     def rows_of(placed: DataFrame) -> DataFrame:
         return _rows(placed, standing, keyed, broadcast_rows)
 
-    links = stored(_region_links(merged, rows_of, percent, leaf_shingles, leaf_points, levels), "links")
+    links = stored(_region_links(merged, rows_of, percent, leaf_shingles, leaf_points, levels, every_link), "links")
+    if every_link:  # blocks and regions that share points find some links again
+        links = stored(links.groupBy("a", "b").agg(F.first("similarity").alias("similarity"), F.min("root").alias("root")), "every-link")
     stars = links.select("a", F.col("root").alias("b")).unionByName(links.select(F.col("b").alias("a"), F.col("root").alias("b")))
     labels = connected_components(stars)
     named = join_small(points.drop("pivots", "half"), labels, F.col("set_id") == F.col("node"), "left", broadcast_rows)
@@ -467,6 +494,15 @@ def near_duplicates(
     )
 
 
+def link_counts(docs: DataFrame, keep: list[str], **options) -> DataFrame:
+    """``keep``, n_shingles and n_links: to how many different other sets each document's set is linked."""
+    members, links = near_duplicates(docs, keep, every_link=True, **options)
+    ends = links.select(F.explode(F.array("a", "b")).alias("of"))
+    counts = stored(ends.groupBy("of").agg(F.count(F.lit(1)).alias("n_links")), "link-counts")
+    joined = join_small(members, counts, F.col("set_id") == F.col("of"), "left", options.get("broadcast_rows", BROADCAST_ROWS))
+    return joined.select("row.*", "n_shingles", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def components(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id reachable by links) for every document."""
     members, _ = near_duplicates(docs, ["doc_id"], **options)

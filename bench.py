@@ -21,7 +21,7 @@ from tripgrid.operators import aggregates, analysis, features, ml, quality, stat
 from tripgrid.operators.cleaning import clean_trips
 from tripgrid.session import build_session, release_scratch, scratch_dir
 from tripgrid.sources import files, fixtures, sinks
-from tripgrid.streaming import events, queries, windows
+from tripgrid.streaming import cell_state, enrich, events, queries, windows
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -52,6 +52,8 @@ def main() -> None:
     trips = files.read_clean(spark, f"{root}/clean")
     labelled = aggregates.with_labels(aggregates.cell_hour(trips))
     sinks.write_parquet(features.feature_table(labelled), f"{root}/features")
+    sinks.write_parquet(labelled, f"{root}/cells")
+    cells = spark.read.parquet(f"{root}/cells")
     table, _ = files.read_features(spark, f"{root}/features")
     train, test = features.temporal_split(table)
     raw_rows, clean_rows, feature_rows = (
@@ -67,6 +69,15 @@ def main() -> None:
             f"{folder}/checkpoint", every=None,
         )])
 
+    def keyed_state_stream() -> None:
+        folder = scratch_dir(spark, "bench-state")
+        source = queries.file_source(spark, f"{root}/clean", trips.schema)
+        gps = events.with_event_time(events.gps_events(source))
+        with cell_state.keyed_state(spark):
+            queries.await_all([queries.start(
+                cell_state.cell_state_stream(gps), queries.Sink("noop"), f"{folder}/checkpoint", "update", None,
+            )])
+
     def six_analyses() -> None:
         for report in (
             analysis.speed_by_hour, analysis.busiest_cells, analysis.zone_comparison,
@@ -94,6 +105,8 @@ def main() -> None:
             state.traffic_state(table), 50).collect()),
         "minute_windows": (clean_rows, lambda: drain(windows.window_aggregates(gps))),
         "minute_windows_stream": (clean_rows, stream_windows),
+        "keyed_state_stream": (clean_rows, keyed_state_stream),
+        "events_as_of": (clean_rows, lambda: drain(enrich.enrich_as_of(gps, cells))),
     }
     results, rates = {}, {}
     for name, (rows, run) in timed.items():

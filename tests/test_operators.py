@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tripgrid import profiles
 from tripgrid.functions.numeric import stable_avg
-from tripgrid.operators import aggregates, analysis, features, joins, ml, quantiles, state
+from tripgrid.operators import aggregates, analysis, features, joins, ml, quantiles, rollups, state
 from tripgrid.plans import views
 from tripgrid.sources import sinks
 from tripgrid.streaming import events
@@ -271,3 +271,18 @@ def test_one_failing_fit_does_not_stop_the_next(spark):
         lr={"regParam": -1.0}, rf={"numTrees": 2, "maxDepth": 2},
     )
     assert [f.model is not None for f in fits] == [False, True] and fits[0].error
+
+
+def test_sketches_of_hours_add_up(spark):
+    """Tens of thousands of cells, most of them in several hours: within three standard errors."""
+    rng = random.Random(7)
+    rows = [(HOUR + dt.timedelta(minutes=rng.randrange(72 * 60)), f"c{rng.randrange(40_000)}", 10.0) for _ in range(60_000)]
+    trips = spark.createDataFrame(rows, "pickup_datetime timestamp, cell_id string, speed_mph double")
+    hours = rollups.hourly(trips).cache()
+    start, end = HOUR + dt.timedelta(hours=5), HOUR + dt.timedelta(hours=60)
+    found = rollups.span(hours, start, end).first()
+    inside = [r for r in rows if start <= r[0] < end]
+    assert found["trip_count"] == len(inside) and found["avg_speed"] == 10.0
+    exact = len({r[1] for r in inside})
+    assert abs(found["cells"] - exact) <= 3 * 0.0082 * exact
+    assert rollups.span(hours, end + dt.timedelta(days=9), end + dt.timedelta(days=10)).first()["cells"] == 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -242,6 +243,34 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
+def formula_scores(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """What ``score`` gives for a logistic model, written out from its numbers.
+
+    Plain column arithmetic on the means, deviations, weights and intercepts: an independent check
+    of stored models, and a way to score in one stage without vectors. Rows with a missing input
+    are skipped, as in the pipeline.
+    """
+    assembler, scaler, logistic = model.stages
+    inputs = assembler.getInputCols()
+    scale = [1.0 / d if d else 0.0 for d in scaler.std.toArray()]
+    scaled = [(F.col(c) - float(m)) * float(k) for c, m, k in zip(inputs, scaler.mean.toArray(), scale)]
+    weights, intercepts = logistic.coefficientMatrix.toArray(), logistic.interceptVector.toArray()
+    margins = [
+        reduce(lambda a, b: a + b, [x * float(w) for x, w in zip(scaled, row) if w], F.lit(float(b)))
+        for row, b in zip(weights, intercepts)
+    ]
+    if len(margins) == 1:  # two classes have one row of weights
+        margins = [F.lit(0.0), margins[0]]
+    named = df.na.drop(subset=list(inputs)).withColumn("_margins", F.array(*margins))
+    largest = F.array_max("_margins")
+    total = F.aggregate("_margins", F.lit(0.0), lambda s, m: s + F.exp(m - largest))
+    prediction = (F.array_position("_margins", largest) - 1).cast("int")
+    return named.select(
+        *df.columns, prediction.alias("prediction"), labels.level_name(prediction).alias("predicted_level"),
+        F.round(1.0 / total, 3).alias("confidence"),
+    )
+
+
 # ---- storage ------------------------------------------------------------------------------
 
 

@@ -84,6 +84,16 @@ def source_breakdown(state: DataFrame, live: str = "live") -> DataFrame:
     )
 
 
+def newest_source(states: DataFrame, live: str = "live") -> DataFrame:
+    """Per cell the source of its newest record; of equal times the live one.
+
+    Time and source are packed into one number, so the records are aggregated by hash.
+    """
+    is_live = F.coalesce(F.col("source") == live, F.lit(False)).cast("long")
+    newest = states.groupBy("cell_id").agg(F.max(F.unix_micros("last_update") * 2 + is_live).alias("packed"))
+    return newest.select("cell_id", F.when(F.col("packed") % 2 == 1, live).otherwise("batch").alias("source"))
+
+
 def overview_series(cells: DataFrame) -> DataFrame:
     """The overview metrics per hour, from labelled cell hours."""
     index = labels.piecewise_index("avg_speed")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tripgrid import profiles
 from tripgrid.functions.numeric import stable_avg
-from tripgrid.operators import aggregates, analysis, features, joins, quality, quantiles
+from tripgrid.operators import aggregates, analysis, features, joins, quality, quantiles, rollups
 from tripgrid.operators.cleaning import prepare_trips
 from tripgrid.operators.state import hotspots, overview_series
 from tripgrid.plans import views
@@ -21,6 +23,7 @@ from tripgrid.plans.views import (
     sql_round,
     sql_speed_index,
 )
+from tripgrid.session import scratch_dir
 from tripgrid.sources import fixtures
 from tripgrid.sources.files import union_all
 
@@ -96,6 +99,25 @@ def a06(spark, d):
     return aggregates.trip_statistics(views.clean(spark, d))
 
 
+@query("a06_rolled_up_days", sql_from("clean", f"""
+SELECT date_trunc('day', pickup_datetime)::TIMESTAMP AS bucket, count(*) AS trip_count,
+  {sql_mean('speed_mph', 2)} AS avg_speed, count(DISTINCT cell_id) AS cells FROM clean GROUP BY 1"""))
+def a06_days(spark, d):
+    """Days from stored hours; their cells come from merged sketches."""
+    path = scratch_dir(spark, "hours")
+    rollups.hourly(views.clean(spark, d)).write.parquet(path)
+    return rollups.per_step(spark.read.parquet(path))
+
+
+@query("d01_rolled_up_span", sql_from("clean", f"""
+SELECT count(*) AS trip_count, {sql_mean('speed_mph', 2)} AS avg_speed, count(DISTINCT cell_id) AS cells
+FROM clean WHERE pickup_datetime >= TIMESTAMP '2016-01-03 05:00:00' AND pickup_datetime < TIMESTAMP '2016-02-04 17:00:00'"""))
+def d01_span(spark, d):
+    path = scratch_dir(spark, "hours")
+    rollups.hourly(views.clean(spark, d)).write.parquet(path)
+    return rollups.span(spark.read.parquet(path), dt.datetime(2016, 1, 3, 5), dt.datetime(2016, 2, 4, 17))
+
+
 @query("a07_trips_by_hour", sql_from("clean", """
 SELECT hour, count(*) AS trip_count FROM clean GROUP BY hour"""))
 def a07(spark, d):

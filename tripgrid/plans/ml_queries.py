@@ -17,11 +17,18 @@ from tripgrid.session import scratch_dir
 from tripgrid.sources import files, sinks
 from tripgrid.streaming import enrich
 
-# Fits of this process, by session and input: several queries look at the same model, and the
-# boosting one takes minutes. Every fit has the published parameters.
+# Fits of this process, by session and state of the input: several queries look at the same model,
+# and the boosting one takes minutes. Every fit has the published parameters.
 _FITTED: dict[tuple, ml.Fit] = {}
 
 
+def _stamp(spark, d) -> tuple[int, int]:
+    """Size and time of the trips' table, so that changed data is fitted anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{d}/lineitem.parquet")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(path).getLength(), system.getFileStatus(path).getModificationTime()
+
+
 def split(spark, d):
     """Train and test rows from a stored feature table, so that fits do not rebuild it."""
     path = scratch_dir(spark, "features")
@@ -30,7 +37,7 @@ def split(spark, d):
 
 
 def fitted(spark, d, kind: str, train=None) -> ml.Fit:
-    key = (spark.sparkContext.applicationId, d, kind)
+    key = (spark.sparkContext.applicationId, d, kind, _stamp(spark, d))
     if key not in _FITTED:
         found = ml.fit(kind, split(spark, d)[0] if train is None else train)
         if found.error:
@@ -125,6 +132,39 @@ def m12(spark, d):
     )
 
 
+def _agreeing(scored, formula, key):
+    """Rows scored, and those that the written-out formula gives the same class and confidence."""
+    other = formula.select(key, F.col("prediction").alias("p"), F.col("confidence").alias("c"))
+    same = (F.col("prediction") == F.col("p")) & (F.abs(F.col("confidence") - F.col("c")) < 0.0015)
+    return scored.join(other, key).agg(F.count(F.lit(1)).alias("scored"), F.count_if(same).alias("same_by_formula"))
+
+
+@query("m12_scores_by_formula", sql_from("state", """
+SELECT count(*) AS scored, count(*) AS same_by_formula FROM state"""))
+def m12_formula(spark, d):
+    """Scores of the library against the model's numbers put into plain arithmetic."""
+    train, _ = split(spark, d)
+    model = fitted(spark, d, "lr", train).model
+    rows = state.scoring_rows(views.traffic_state(spark, d), as_of())
+    return _agreeing(ml.score(model, rows), ml.formula_scores(model, rows), "cell_id")
+
+
+@query("r06_event_scores_by_formula", sql_from("gps", """
+SELECT count(*) AS scored, count(*) AS same_by_formula FROM gps"""))
+def r06_formula(spark, d):
+    """The same for events joined with their cells' history."""
+    path = scratch_dir(spark, "snapshot")
+    sinks.write_parquet(enrich.history_snapshot(views.labelled(spark, d)), path)
+    train, _ = split(spark, d)
+    model = fitted(spark, d, "lr", train).model
+    enriched = enrich.enrich_events(views.gps(spark, d), spark.read.parquet(path))
+    # events have no unique key, so each row carries both results
+    scored = ml.score(model, enriched).select(*enriched.columns, F.col("prediction").alias("p"), F.col("confidence").alias("c"))
+    both = ml.formula_scores(model, scored)
+    same = (F.col("prediction") == F.col("p")) & (F.abs(F.col("confidence") - F.col("c")) < 0.0015)
+    return both.agg(F.count(F.lit(1)).alias("scored"), F.count_if(same).alias("same_by_formula"))
+
+
 @query("r06_model_scored_events")
 def r06_model(spark, d):
     """Events enriched with cell history and scored by a trained model."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tripgrid.functions import grid, labels
@@ -49,12 +51,11 @@ FROM (SELECT cell_id FROM state UNION SELECT cell_id FROM live) s LEFT JOIN live
 def a22(spark, d):
     """Batch state overlaid with the live records of the last hour, counted by source."""
     events = views.gps(spark, d)
-    newest = events.agg(F.max("event_ts")).scalar()
-    recent = events.filter(F.col("event_ts") > newest - F.expr("INTERVAL 1 HOUR"))
-    merged = state.latest_per_key(
-        views.traffic_state(spark, d).unionByName(live_state(recent)), "cell_id", "last_update"
-    )
-    return state.source_breakdown(merged)
+    # a literal bound reaches the scan
+    newest = events.agg(F.max("event_ts")).first()[0]
+    recent = events.filter(F.col("event_ts") > F.lit(newest - dt.timedelta(hours=1)))
+    both = views.traffic_state(spark, d).unionByName(live_state(recent))
+    return state.source_breakdown(state.newest_source(both))
 
 
 _STATE_ORDER = "ORDER BY congestion_index DESC, cell_id"

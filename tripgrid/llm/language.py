@@ -5,8 +5,9 @@ stretch of bytes is labelled with its document's language. A prediction reads th
 into segments that run side by side as columns of one matrix, labels every position, and pools the
 positions' probabilities by their mean.
 
-Training rows are a bounded sample (``per_language`` documents of each language, a stretch of at
-most ``stretch`` characters from each, both chosen by hash); everything else covers all rows.
+Training rows are a bounded sample (``per_language`` different texts of each language, a stretch of
+at most ``stretch`` characters from each, both chosen by hash, at most ``languages`` languages);
+everything else covers all rows.
 
 Defined cases: null text, empty text and text without a letter are ``und`` with score 0; rows with
 null lang or text are not trained on; without any labelled row all texts are ``und``; repeated rows
@@ -22,6 +23,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 HIDDEN = 8
 SEGMENT = 128
@@ -188,27 +190,28 @@ class Reader:
         return np.add.reduceat(total, first, axis=1).T / size[:, None]
 
 
-def training_rows(labelled: DataFrame, per_language: int, stretch: int) -> list[tuple[bytes, str]]:
-    """A bounded sample: about ``per_language`` documents of every language, by hash of the text."""
+def training_rows(labelled: DataFrame, per_language: int, stretch: int, languages: int = 1000) -> list[tuple[bytes, str]]:
+    """A bounded sample: the ``per_language`` different texts of least hash of each language.
+
+    Copies count once. Where there are more than ``languages`` languages, those with the most
+    different texts are learned, of equal ones the first by name.
+    """
     usable = labelled.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(2000).collect()}
+    hashed = usable.withColumn("h", F.xxhash64("text"))
+    different = hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["lang"]: r["n"] for r in different.orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not counts:
         return []
+    # about twice as many as wanted lie below a language's limit, so few texts are ranked
     space = 1 << 30
-    wanted = F.lit(0)
-    for lang, n in counts.items():
-        wanted = F.when(F.col("lang") == lang, min(space, space * 2 * per_language // n + 1)).otherwise(wanted)
-    sample = usable.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(space))).filter(F.col("h") < wanted)
+    limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(space, space * 2 * per_language // n + space // n))])
+    sample = hashed.filter(F.pmod("h", F.lit(space)) < F.coalesce(F.try_element_at(limits, F.col("lang")), F.lit(0)))
     at = 1 + F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.lit(1), F.length("text") - stretch + 1))
-    rows = sample.select("lang", "h", F.substring("text", at.cast("int"), F.lit(stretch)).alias("t"))
-    rows = rows.orderBy("h", "lang", "t").limit(4 * per_language * len(counts)).collect()
-    taken: dict[str, int] = {}
-    out = []
-    for r in rows:
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= per_language:
-            out.append((r["t"].encode(), r["lang"]))
-    return out
+    rows = sample.select("lang", "h", F.pmod("h", F.lit(space)).alias("low"), F.substring("text", at.cast("int"), F.lit(stretch)).alias("t"))
+    once = rows.groupBy("lang", "h", "low").agg(F.min("t").alias("t"))
+    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("low", "h")))
+    taken = ranked.filter(F.col("rank") <= per_language).orderBy("low", "h", "lang").collect()
+    return [(r["t"].encode(), r["lang"]) for r in taken]
 
 
 def fit(labelled: DataFrame, per_language: int = 200, stretch: int = 2000, steps: int = 220) -> tuple[list[str], dict] | None:

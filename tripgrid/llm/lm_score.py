@@ -7,8 +7,9 @@ counted into before its loss is formed.
 
 Documents are dealt into blocks of about ``BLOCK_CHARS`` characters. A block sends each distinct
 word and pair once, with its counts, to the range of hashes it falls in; the range adds them up and
-sends the totals back to the blocks that asked. So nothing of the corpus' size is gathered in one
-place, and a hot word costs one row per block. ``word_bits`` and ``pair_bits`` below 64 share counts
+sends the totals back to the blocks that asked. A hot word costs one row per block. A range is added
+up in one worker, which holds a row of nearly every block, and there are rows for each block and
+range: they grow as the square of the text until a range holds about one key of a block. ``word_bits`` and ``pair_bits`` below 64 share counts
 between words whose first bits agree.
 
 Per token the loss is ``-log p`` with ``p = (c(v,w) + s q(w)) / (c(v) + s)`` and

@@ -149,6 +149,36 @@ def test_console_sink(spark, tmp_path, capfd):
     queries.await_all([queries.start(stream, queries.console(rows=3), every=None)])
 
 
+def test_console_gets_few_rows_of_each_task(spark, tmp_path):
+    """The driver gets what is shown and not the batch; the whole batch is read all the same."""
+    spark.range(40_000).repartition(4).write.parquet(str(tmp_path / "in"))
+    sent = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            sent.add(batch.num_rows)
+            yield batch
+
+    class Stream:  # sees the frame that reaches the format
+        schema = spark.range(1).schema
+
+        def mapInArrow(self, function, schema):
+            self.function = function
+            raise StopIteration
+
+    cut = Stream()
+    with pytest.raises(StopIteration):
+        queries.start(cut, queries.console(rows=3))
+    stream = queries.file_source(spark, str(tmp_path / "in"), Stream.schema)
+    totals = queries.watch_progress(spark)
+    shown = stream.mapInArrow(cut.function, Stream.schema).mapInArrow(counted, Stream.schema)
+    running = shown.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "chk")).trigger(availableNow=True).start()
+    queries.await_all([running])
+    assert queries.progress_summary(running, totals)["input_rows"] == 40_000
+    spark.streams.removeListener(totals)
+    assert 4 <= sent.value <= 4 * 4
+
+
 def test_event_time_formats(spark):
     df = spark.createDataFrame(
         [("2024-01-01T12:00:00Z",), ("2024-01-01T12:00:00",), ("nonsense",)], "timestamp string"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
@@ -57,9 +58,24 @@ class Sink:
 
 
 def console(rows: int = 10) -> Sink:
+    """Shows the first ``rows`` rows of a batch; no task sends the driver more than one beyond them."""
     return Sink("console", {"truncate": False, "numRows": rows})
 
 
+def _first_of_task(rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Passes on the first ``rows`` rows of a task and reads the others to their end."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = rows
+        for batch in batches:
+            if left:
+                head = batch.slice(0, left)
+                left -= head.num_rows
+                yield head
+
+    return cut
+
+
 def parquet(path: str, partition_by: tuple[str, ...] = ()) -> Sink:
     """Files cannot be updated, so aggregates reach them once their watermark has passed."""
     return Sink("parquet", {"path": path}, partition_by)
@@ -85,10 +101,13 @@ def start(
     """Start one query; ``every`` is the micro-batch interval, None runs over what is there.
 
     A split sink gets the rows of a folder in one task per batch, so a batch writes one file
-    per folder and not one per task and folder.
+    per folder and not one per task and folder. The console format gathers all rows of a batch in
+    the driver, so it gets as many of each task as it may show, and one that tells it of more.
     """
     if sink.partition_by:
         df = df.repartition(*sink.partition_by)
+    if sink.fmt == "console":
+        df = df.mapInArrow(_first_of_task(int(sink.options.get("numRows", 20)) + 1), df.schema)
     writer = df.writeStream.outputMode(mode).format(sink.fmt).options(**sink.options)
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)

@@ -159,6 +159,19 @@ def test_hot_keys_are_dealt_over_tasks(spark, tmp_path):
     assert files.filter("k = 'hot'").count() >= 20 and files.filter("k <> 'hot'").count() == 80
 
 
+def test_small_files_take_no_task_each(spark, tmp_path):
+    """Two hundred files of a key are the work of one task, or of as many as its rows fill."""
+    rows = spark.range(2000).select(F.lit("hot").alias("k"), "id").repartition(4)
+    for name, options, tasks in (("one", {}, 1), ("four", {"rows_per_task": 500}, 4)):
+        handle = queries.spread_handler(str(tmp_path / name), ("k",), rows_per_file=10, **options)
+        for epoch in range(2):
+            handle(rows, epoch)
+            stored = spark.read.parquet(f"{tmp_path}/{name}").filter(F.col("epoch") == epoch).withColumn("f", F.input_file_name())
+            files = [(r["f"].split("/part-")[1][:5], r["count"]) for r in stored.groupBy("f").count().collect()]
+            assert sum(n for _, n in files) == 2000 and max(n for _, n in files) == 10
+            assert 1 <= len({task for task, _ in files}) <= tasks
+
+
 def test_months_are_replaced_one_by_one(spark, tmp_path):
     cells = views.labelled(spark, SMALL)
     path = str(tmp_path / "months")

@@ -144,38 +144,40 @@ def scoring_handler(
 
 
 def spread_handler(
-    path: str, keys: tuple[str, ...], rows_per_file: int = 1_000_000
+    path: str, keys: tuple[str, ...], rows_per_file: int = 1_000_000, rows_per_task: int = 50_000
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler that writes a batch split by ``keys``, a hot key in as many tasks as it fills.
 
-    A key with more than ``rows_per_file`` rows is dealt over one task for each such number of
-    rows. How many a key needs follows from the batch before, whose counts come from what it
-    wrote; the first batch of a run is counted beforehand. At most rows / ``rows_per_file`` keys
-    are hot, so the list of them is short.
+    A key with more than ``rows_per_file`` rows is hot. It is dealt over one task for each
+    ``rows_per_task`` rows (or ``rows_per_file`` if that is more), and a task begins a new file
+    after ``rows_per_file`` rows: small files cost files, not tasks. How many tasks a key needs
+    follows from the batch before, whose counts come from what it wrote and are read when the next
+    batch comes; the first batch of a run is counted beforehand. At most rows / ``rows_per_file``
+    keys are hot, so the list of them is short.
     """
     run = _run_name()
-    hot: list[tuple] | None = None
+    before: str | None = None
 
     def needs(rows: DataFrame) -> list[tuple]:
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_file)
-        return [tuple(r) for r in counts.collect()]
+        share = max(rows_per_file, rows_per_task)
+        return [(*values, -(-n // share)) for *values, n in counts.collect()]
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        nonlocal hot
-        if hot is None:
-            hot = needs(batch)
+        nonlocal before
+        spark = batch.sparkSession
+        hot = needs(batch if before is None else spark.read.schema(batch.schema).parquet(before))
         parts = F.lit(1)
         # a stated number of tasks is not merged, and few parts of hot keys meet in one
-        spark = batch.sparkSession
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) + 2 * sum(-(-n // rows_per_file) for *_, n in hot)
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) + 2 * sum(n for *_, n in hot)
         for *values, n in hot:
             same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, values)])
-            parts = F.when(same, F.lit(-(-n // rows_per_file))).otherwise(parts)
+            parts = F.when(same, F.lit(n)).otherwise(parts)
         dealt = batch.withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts))
         target = f"{path}/run={run}/epoch={epoch}"
         writer = dealt.repartition(tasks, *keys, "_part").drop("_part").write.mode("overwrite").partitionBy(*keys)
         writer.option("maxRecordsPerFile", rows_per_file).parquet(target)
-        hot = needs(spark.read.schema(batch.schema).parquet(target))
+        before = target
 
     return handle
 

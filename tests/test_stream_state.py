@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tripgrid.operators import history
+from tripgrid.operators.state import latest_per_key
 from tripgrid.plans import views
 from tripgrid.streaming import cell_state, enrich, late, queries, state_log, windows
 
@@ -134,6 +135,17 @@ def test_rows_are_summed_before_they_are_dealt(spark):
     assert [(r["trip_count"], r["speed_units"]) for r in partial] == [(1000, 1_000_000)]
 
 
+def test_a_task_passes_on_one_row_per_cell(spark):
+    """Windows older than a cell's newest never leave the task that reads them, however many batches it reads."""
+    rows = events_of(spark, [("ab"[k % 2], k * 7919 % 30_000, 10.0 + k % 3) for k in range(30_000)])
+    partial = cell_state.partial_windows(rows)
+    assert sorted(r["cell_id"] for r in partial.collect()) == ["a", "b"]
+    every = windows.window_aggregates(rows)
+    wanted = latest_per_key(every, "cell_id", "window_end")
+    found = cell_state.as_windows(partial).select(wanted.columns)
+    assert sorted(found.collect()) == sorted(wanted.collect())
+
+
 def test_late_rows_are_kept_apart(spark, tmp_path):
     found = late.LateKeepingWindows(spark, str(tmp_path), ("cell_id",), every=2)
     handle = found.handle("run")

@@ -5,8 +5,9 @@ replaces it, one of the same window is added, an earlier one changes nothing, so
 not depend on the order of arrival. The state lives in the query's own store and outlives a
 restart with its checkpoint; ``read_cell_state`` reads it from there, so no batch writes a folder.
 
-Events are summed up per cell and window in the task that reads them, before they are dealt by
-cell: a cell with a third of all events sends one row per Arrow batch.
+Events are summed up in the task that reads them, before they are dealt by cell. As only the newest
+window of a cell counts, a task passes on one row per cell, however many events and windows it reads.
+The same sums can be kept in a log of folders (``newest_sums``) instead of a store.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tripgrid.functions import labels
 from tripgrid.functions.numeric import fixed_point
+from tripgrid.operators.state import latest_per_key
 from tripgrid.streaming.windows import LATENESS
 
 PARTIAL = (
@@ -40,16 +42,25 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _newest_sums(table: pa.Table) -> pa.Table:
+    """Sums of the newest window of each cell."""
+    newest = table.group_by("cell_id").aggregate([("window_end", "max")])
+    rows = table.join(newest, ["cell_id", "window_end"], ["cell_id", "window_end_max"], join_type="left semi", use_threads=False)
+    grouped = rows.group_by(_KEYS).aggregate(_SUMS)
+    return pa.table([grouped[n] for n in (*_KEYS, *[f"{n}_{how}" for n, how in _SUMS])], names=table.column_names).cast(table.schema)
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = None
     for batch in batches:
-        grouped = pa.Table.from_batches([batch]).group_by(_KEYS).aggregate(_SUMS)
-        named = grouped.rename_columns([n.removesuffix("_sum") if n.endswith("_sum") else n for n in grouped.column_names])
-        named = named.rename_columns([{"max_speed_max": "max_speed", "min_speed_min": "min_speed"}.get(n, n) for n in named.column_names])
-        yield from named.select([*_KEYS, *[n for n, _ in _SUMS]]).cast(batch.schema).to_batches()
+        read = pa.Table.from_batches([batch])
+        held = _newest_sums(read if held is None else pa.concat_tables([held, read]))
+    if held is not None:
+        yield from held.to_batches()
 
 
 def partial_windows(events: DataFrame, size: str = "1 minute") -> DataFrame:
-    """Sums per cell and window of what a task reads at once."""
+    """Sums of the newest window per cell among what a task reads."""
     rows = events.select(
         "cell_id", F.col("cell_lat").cast("int"), F.col("cell_lon").cast("int"),
         F.window("event_ts", size)["end"].alias("window_end"),
@@ -59,6 +70,12 @@ def partial_windows(events: DataFrame, size: str = "1 minute") -> DataFrame:
     return rows.filter("cell_id is not null and window_end is not null").mapInArrow(_summed, PARTIAL)
 
 
+def newest_sums(rows: DataFrame) -> DataFrame:
+    """Merge of a state log over ``partial_windows``: the newest window per cell, its sums added up."""
+    sums = rows.groupBy(*_KEYS).agg(*[{"sum": F.sum, "max": F.max, "min": F.min}[how](n).alias(n) for n, how in _SUMS])
+    return latest_per_key(sums, "cell_id", "window_end", "cell_lat", "cell_lon")
+
+
 class NewestWindow(StatefulProcessor):
     """Keeps the newest window of a cell.
 

@@ -3,14 +3,16 @@
 import datetime as dt
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tests.conftest import SMALL
 from tripgrid.operators import history
 from tripgrid.operators.state import latest_per_key
-from tripgrid.plans import views
+from tripgrid.plans import streaming_queries, views
 from tripgrid.streaming import cell_state, enrich, late, queries, state_log, windows
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -146,6 +148,44 @@ def test_a_task_passes_on_one_row_per_cell(spark):
     assert sorted(found.collect()) == sorted(wanted.collect())
 
 
+def test_log_adds_up_equal_windows_of_its_batches(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(rng.choice("abc"), rng.randrange(400), round(rng.uniform(1, 60), 2)) for _ in range(300)]
+    log = state_log.StateLog(spark, str(tmp_path / "log"), cell_state.newest_sums, every=2)
+    for epoch in range(5):
+        for _ in range(2):  # the second is a replay
+            log.append(cell_state.partial_windows(events_of(spark, rows[epoch * 60 : epoch * 60 + 60])), "run", epoch)
+    wanted = latest_per_key(windows.window_aggregates(events_of(spark, rows)), "cell_id", "window_end")
+    found = cell_state.as_windows(log.read()).select(wanted.columns)
+    assert sorted(found.collect()) == sorted(wanted.collect())
+
+
+def test_log_query_holds_no_window_open(spark):
+    """Five batches, and no state that grows with the windows seen."""
+
+    class Watch(StreamingQueryListener):
+        def __init__(self):
+            self.batches, self.held = set(), 0
+
+        def onQueryStarted(self, event): ...
+        def onQueryIdle(self, event): ...
+        def onQueryTerminated(self, event): ...
+
+        def onQueryProgress(self, event):
+            if event.progress.numInputRows:
+                self.batches.add(event.progress.batchId)
+            self.held += len(event.progress.stateOperators)
+
+    watch = Watch()
+    spark.streams.addListener(watch)
+    cells = streaming_queries.r09_log(spark, SMALL).count()
+    deadline = time.monotonic() + 10
+    while len(watch.batches) < 5 and time.monotonic() < deadline:
+        time.sleep(0.1)
+    spark.streams.removeListener(watch)
+    assert cells > 0 and len(watch.batches) == 5 and watch.held == 0
+
+
 def test_late_rows_are_kept_apart(spark, tmp_path):
     found = late.LateKeepingWindows(spark, str(tmp_path), ("cell_id",), every=2)
     handle = found.handle("run")

@@ -469,19 +469,22 @@ def r09_keyed(spark, d):
 def r09_log(spark, d):
     """Newest window per cell in a log that merges its folders while the stream runs.
 
-    Batches come in no order of time, so the watermark is a year behind and shuts nothing out.
+    Batches come in no order of time. A batch logs the sums of each cell's newest window and the
+    log adds up those of equal windows, so no window is held open for rows still to come. A batch is
+    as many files as there are cores, so all of them work on it.
     """
     folder = scratch_dir(spark, "log")
-    log = state_log.StateLog(spark, f"{folder}/log", state_log.newest_rows("cell_id", "window_end"), every=2)
+    log = state_log.StateLog(spark, f"{folder}/log", cell_state.newest_sums, every=2)
     table = fixtures.table(spark, d, "lineitem")
-    table.repartitionByRange(5, "l_orderkey").write.parquet(f"{folder}/in")
-    source = queries.file_source(spark, f"{folder}/in", table.schema, files_per_batch=1)
+    files = spark.sparkContext.defaultParallelism
+    table.repartition(5 * files, "l_orderkey").write.parquet(f"{folder}/in")
+    source = queries.file_source(spark, f"{folder}/in", table.schema, files_per_batch=files)
     gps = events.with_event_time(events.gps_events(clean_trips(
         fixtures.trips_from_lineitem(source).drop("l_orderkey"))))
     queries.await_all([queries.to_batches(
-        windows.window_aggregates(gps, lateness="366 days"), log.handler("main"), f"{folder}/checkpoint", mode="update", every=None
+        cell_state.partial_windows(gps), log.handler("main"), f"{folder}/checkpoint", every=None
     )])
-    return state.bridge_state(log.read())
+    return state.bridge_state(cell_state.as_windows(log.read()))
 
 
 @query("r09_log_of_many_batches", """

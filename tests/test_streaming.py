@@ -7,7 +7,7 @@ import pytest
 
 from tests.conftest import SMALL
 from tripgrid.operators.state import latest_per_key
-from tripgrid.plans import views
+from tripgrid.plans import catalog, views
 from tripgrid.schemas import GPS_EVENT
 from tripgrid.sources import fixtures
 from tripgrid.streaming import events, queries, windows
@@ -143,6 +143,17 @@ def test_messages_carry_all_fields(spark):
     assert set(value) == set(GPS_EVENT.names) and value["cell_id"] == message["key"]
 
 
+def test_message_text_is_not_made_inside_the_json_reader(spark):
+    """Neither query folds the making of its messages into the reader, which interprets its argument."""
+    for name in ("r01_parse_messages", "r01_parse_trip_messages"):
+        plan = catalog.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        readers = [line for line in plan.splitlines() if "from_json(" in line]
+        assert len(readers) == 1 and "StructsToJson" not in readers[0] and "StructsToJson" in plan
+    odd = spark.createDataFrame([(b"k", None), (None, b"no json"), (b"k", b'{"speed": 2.5}')], "key binary, value binary")
+    rows = [(r["message_key"], r["event_id"], r["speed"]) for r in events.parse_messages(odd).collect()]
+    assert rows == [("k", None, None), (None, None, None), ("k", None, 2.5)]
+
+
 def test_console_sink(spark, tmp_path, capfd):
     schema = fixtures.table(spark, SMALL, "nation").schema
     stream = queries.file_source(spark, f"{SMALL}/nation.parquet*", schema)

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from tripgrid import profiles
 from tripgrid.functions import grid, labels, temporal
+from tripgrid.functions.frames import compute_once
 from tripgrid.functions.numeric import clamp, fixed_point
 from tripgrid.schemas import GPS_EVENT, TRIP_EVENT
 
@@ -99,15 +100,21 @@ def parse_messages(messages: DataFrame, schema: StructType = GPS_EVENT) -> DataF
     """Fields of JSON messages beside their key and broker time.
 
     Text that is no JSON gives a row of nulls, as the broker key may still be of use.
+
+    The JSON reader is no generated code, and whatever is folded into its argument is interpreted
+    node by node for each row; so the text is made before it, as a column of its own.
     """
     broker_time = (
         F.col("timestamp") if "timestamp" in messages.columns
         else F.lit(None).cast("timestamp")
     )
-    return messages.select(
+    texts = messages.select(
         F.col("key").cast("string").alias("message_key"),
         broker_time.alias("message_time"),
-        F.from_json(F.col("value").cast("string"), schema).alias("d"),
+        F.col("value").cast("string").alias("value"),
+    )
+    return compute_once(texts, ["value"]).select(
+        "message_key", "message_time", F.from_json("value", schema).alias("d")
     ).select("message_key", "message_time", "d.*")
 
 

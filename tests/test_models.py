@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tripgrid import profiles
 from tripgrid.operators import features, ml
-from tripgrid.plans import views
+from tripgrid.plans import ml_queries, views
+from tripgrid.sources import fixtures
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +70,12 @@ def test_forest_scores_by_hand(spark, sides, tmp_path):
             votes = [v + s / sum(stats) for v, s in zip(votes, stats)]
         assert row["prediction"] == votes.index(max(votes))
         assert row["confidence"] == pytest.approx(max(votes) / 7, abs=0.0006)
+
+
+def test_scored_stream_passes_the_trips_once_for_history_and_model(spark, monkeypatch):
+    """The other pass is the batch form's own; the stream reads the file itself."""
+    passes, made = [], fixtures.typed_trips
+    monkeypatch.setattr(fixtures, "typed_trips", lambda *args: passes.append(args) or made(*args))
+    row = ml_queries.r06_stream(spark, SMALL).first()
+    assert row["events"] == row["same_as_batch"] > 0
+    assert len(passes) == 2

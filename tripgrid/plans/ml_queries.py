@@ -29,23 +29,41 @@ def _stamp(spark, d) -> tuple[int, int]:
     return system.getContentSummary(path).getLength(), system.getFileStatus(path).getModificationTime()
 
 
-def split(spark, d):
-    """Train and test rows from a stored feature table, so that fits do not rebuild it."""
+def _split(spark, rows):
     path = scratch_dir(spark, "features")
-    sinks.write_parquet(views.feature_rows(spark, d), path)
+    sinks.write_parquet(rows, path)
     return features.temporal_split(files.read_features(spark, path)[0])
 
 
+def split(spark, d):
+    """Train and test rows from a stored feature table, so that fits do not rebuild it."""
+    return _split(spark, views.feature_rows(spark, d))
+
+
 def fitted(spark, d, kind: str, train=None) -> ml.Fit:
     key = (spark.sparkContext.applicationId, d, kind, _stamp(spark, d))
     if key not in _FITTED:
-        found = ml.fit(kind, split(spark, d)[0] if train is None else train)
+        rows = split(spark, d)[0] if train is None else train() if callable(train) else train
+        found = ml.fit(kind, rows)
         if found.error:
             raise RuntimeError(found.error)
         _FITTED[key] = found
     return _FITTED[key]
 
 
+def snapshot_and_model(spark, d, path):
+    """Writes the history snapshot to ``path`` and gives the logistic model: one pass over the trips for both.
+
+    The cell hours are stored, as snapshot and features ask for them three times. Features are
+    made for a model that is not fitted yet only.
+    """
+    stored = scratch_dir(spark, "cells")
+    sinks.write_parquet(views.labelled(spark, d), stored)
+    cells = spark.read.parquet(stored)
+    sinks.write_parquet(enrich.history_snapshot(cells), path)
+    return fitted(spark, d, "lr", lambda: _split(spark, features.feature_table(cells))[0]).model
+
+
 _SCALED_SQL = "\nUNION ALL ".join(
     f"""SELECT '{n}' AS feature, count(*) AS rows, 0.0::DOUBLE AS mean,
   CASE WHEN count(DISTINCT {n}) > 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS deviation
@@ -154,9 +172,7 @@ SELECT count(*) AS scored, count(*) AS same_by_formula FROM gps"""))
 def r06_formula(spark, d):
     """The same for events joined with their cells' history."""
     path = scratch_dir(spark, "snapshot")
-    sinks.write_parquet(enrich.history_snapshot(views.labelled(spark, d)), path)
-    train, _ = split(spark, d)
-    model = fitted(spark, d, "lr", train).model
+    model = snapshot_and_model(spark, d, path)
     enriched = enrich.enrich_events(views.gps(spark, d), spark.read.parquet(path))
     # events have no unique key, so each row carries both results
     scored = ml.score(model, enriched).select(*enriched.columns, F.col("prediction").alias("p"), F.col("confidence").alias("c"))
@@ -169,10 +185,12 @@ def r06_formula(spark, d):
 def r06_model(spark, d):
     """Events enriched with cell history and scored by a trained model."""
     path = scratch_dir(spark, "snapshot")
-    sinks.write_parquet(enrich.history_snapshot(views.labelled(spark, d)), path)
-    train, _ = split(spark, d)
-    enriched = enrich.enrich_events(views.gps(spark, d), spark.read.parquet(path))
-    return ml.score(fitted(spark, d, "lr", train).model, enriched).select(
+    return _scored_events(spark, d, path, snapshot_and_model(spark, d, path))
+
+
+def _scored_events(spark, d, snapshot, model):
+    enriched = enrich.enrich_events(views.gps(spark, d), spark.read.parquet(snapshot))
+    return ml.score(model, enriched).select(
         "event_id", "cell_id", "prediction", "predicted_level", "confidence"
     )
 
@@ -182,16 +200,15 @@ SELECT count(*) AS events, count(*) AS same_as_batch FROM gps"""))
 def r06_stream(spark, d):
     """The stream command with a stored model: events and those scored as the batch form does."""
     folder = scratch_dir(spark, "stream")
-    sinks.write_parquet(enrich.history_snapshot(views.labelled(spark, d)), f"{folder}/snapshot")
-    train, _ = split(spark, d)
-    fitted(spark, d, "lr", train).model.write().overwrite().save(f"{folder}/model/model")
+    model = snapshot_and_model(spark, d, f"{folder}/snapshot")
+    model.write().overwrite().save(f"{folder}/model/model")
     jobs.run_stream(
         spark, gps_stream(spark, d), folder, f"{folder}/snapshot", f"{folder}/model",
         ("raw", "scores"), {"raw": None, "scores": None},
     )
     columns = ["event_id", "cell_id", "prediction", "predicted_level", "confidence"]
     scored = spark.read.parquet(f"{folder}/scores").select(*columns)
-    same = scored.join(r06_model(spark, d), columns, "left_semi")
+    same = scored.join(_scored_events(spark, d, f"{folder}/snapshot", model), columns, "left_semi")
     return scored.agg(F.count(F.lit(1)).alias("events")).select(
         "events", same.agg(F.count(F.lit(1))).scalar().alias("same_as_batch")
     )
